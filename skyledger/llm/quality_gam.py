@@ -187,17 +187,35 @@ def fit(x: np.ndarray, y: np.ndarray) -> Gam:
     return model
 
 
-def train(featured: DataFrame, labels: DataFrame) -> Gam:
-    """Fit on (doc_id, features) joined with (doc_id, quality)."""
+def _marked(labels: DataFrame) -> DataFrame:
+    """About SAMPLE labelled rows (l_id, quality), by the hash of their id."""
     marked = labels.where("quality is not null").select(F.col("doc_id").alias("l_id"), "quality")
-    n = marked.count()
     lot = F.pmod(F.xxhash64("l_id"), F.lit(1 << 30)) / float(1 << 30)
-    rows = marked.where(lot < min(1.0, SAMPLE / max(1, n))).join(featured, F.col("l_id") == F.col("doc_id")).select("doc_id", "features", "quality").toArrow()
+    return marked.where(lot < min(1.0, SAMPLE / max(1, marked.count())))
+
+
+def _fit_rows(rows: DataFrame) -> Gam:
+    rows = rows.select("doc_id", "features", "quality").toArrow()
     x = np.asarray(rows["features"].combine_chunks().flatten()).reshape(-1, len(FEATURES)) if len(rows) else np.zeros((0, len(FEATURES)))
     order = np.lexsort((np.asarray(rows["quality"]), np.asarray(rows["doc_id"])))
     return fit(x[order], np.asarray(rows["quality"])[order].astype(float))
 
 
+def train(featured: DataFrame, labels: DataFrame) -> Gam:
+    """Fit on (doc_id, features) joined with (doc_id, quality)."""
+    return _fit_rows(_marked(labels).join(featured, F.col("l_id") == F.col("doc_id")))
+
+
+def train_on(docs: DataFrame, labels: DataFrame) -> Gam:
+    """Fit on (doc_id, text) joined with (doc_id, quality); the labelled rows are few enough to broadcast, as SAMPLE bounds them."""
+    return _fit_rows(features(docs.select("doc_id", "text").join(F.broadcast(_marked(labels)), F.col("doc_id") == F.col("l_id")), ["doc_id", "quality"]))
+
+
+def classify(docs: DataFrame, model: Gam) -> DataFrame:
+    """``docs`` with score and predicted, in one pass over the texts."""
+    return score(features(docs, [c for c in docs.columns if c not in ("features", "score", "predicted")]), model)
+
+
 def score(featured: DataFrame, model: Gam) -> DataFrame:
     """``featured`` with score and predicted in place of features."""
     keep = [c for c in featured.columns if c != "features"]

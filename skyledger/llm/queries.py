@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, poisson_mix, quality_gam, sentencepiece_codec, url_filter
+from . import cover_tree, html_extract, language_id, license_scan, poisson_mix, quality_gam, sentencepiece_codec, url_filter, va_search
 from .ngram_join import jaccard_components
 from .scratch import Scratch
 
@@ -24,10 +24,22 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), restore=True)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.link_vectors(table(spark, sf_dir, "embeddings"), 0.9)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", language_id.held_out(5, 0))
     featured = Scratch(spark).save(quality_gam.features(docs, ["doc_id", "held_out"]))
@@ -45,5 +57,15 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix.poisson_mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard_join, op4_sentencepiece, op7_quality_classifier, op8_language_id, op9_source_mixing)}
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_search.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_url_filter, op2_ngram_jaccard_join, op3_html_extraction, op4_sentencepiece, op5_license_scan,
+        op6_embedding_dedup, op7_quality_classifier, op8_language_id, op9_source_mixing, op10_topk_search,
+    )
+}
 ORACLES: dict[str, str] = {"op1_url_filter": url_filter.ORACLE, "op9_source_mixing": poisson_mix.ORACLE}
