@@ -398,7 +398,7 @@ def anom_robust_z(v):
     return anomaly.detect(v.hourly, v.month_baselines, ["location_id", "pollutant"], "value").select("location_id", "pollutant", "hour_start", "robust_z")
 
 
-@query("SELECT raw_payload_hash, CASE WHEN m = 0 THEN CASE WHEN abs(value) > 100 THEN 5.0 ELSE 0.0 END WHEN value / m >= 2 THEN 3.0 WHEN value / m <= 0.5 THEN -3.0 ELSE 0.0 END AS z FROM (SELECT raw_payload_hash, value, CAST(CAST(raw_payload_hash AS BIGINT) % 3 * 40 AS DOUBLE) AS m FROM aq_first)")
+@query("SELECT raw_payload_hash, CAST(CASE WHEN m = 0 THEN CASE WHEN abs(value) > 100 THEN 5.0 ELSE 0.0 END WHEN value / m >= 2 THEN 3.0 WHEN value / m <= 0.5 THEN -3.0 ELSE 0.0 END AS DOUBLE) AS z FROM (SELECT raw_payload_hash, value, CAST(CAST(raw_payload_hash AS BIGINT) % 3 * 40 AS DOUBLE) AS m FROM aq_first)")
 def anom_zero_mad(v):
     rows = v.aq_first.select("raw_payload_hash", "value", (F.col("raw_payload_hash").cast("bigint") % 3 * 40).cast("double").alias("m"))
     return rows.select("raw_payload_hash", anomaly.zero_mad_z(F.col("value"), F.col("m")).alias("z"))

@@ -41,7 +41,9 @@ def parse_hourly_weather(payloads: DataFrame) -> DataFrame:
     """(location_id, payload, ingested_at) of parallel arrays to one row an hour; short arrays end in nulls."""
     h = F.from_json("payload", HOURLY)["hourly"]
     rows = payloads.select("location_id", "ingested_at", response_hash().alias("raw_payload_hash"), h.alias("h"))
-    rows = rows.select("location_id", "ingested_at", "raw_payload_hash", F.explode(F.arrays_zip("h.time", *(f"h.{c}" for c in HOURLY_COLUMNS))).alias("z"))
+    none = F.array().cast("array<double>")
+    rows = rows.select("location_id", "ingested_at", "raw_payload_hash", "h.time", *(F.coalesce(f"h.{c}", none).alias(c) for c in HOURLY_COLUMNS))
+    rows = rows.select("location_id", "ingested_at", "raw_payload_hash", F.explode(F.arrays_zip("time", *HOURLY_COLUMNS)).alias("z"))
     t = F.col("z.time")
     at = F.when(t.rlike("^[0-9]+$"), F.timestamp_seconds(F.expr("try_cast(z.time as bigint)"))).otherwise(F.expr("try_to_timestamp(z.time)")).cast("timestamp_ntz")
     rows = rows.select(F.lit("open_meteo").alias("source"), "location_id", at.alias("observed_at"), *(F.col(f"z.{a}").alias(b) for a, b in HOURLY_COLUMNS.items()), "ingested_at", "raw_payload_hash")
