@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 SEED = "mix-1"
 PART = 500.0
+BROADCAST_SOURCES = 10_000  # of some hundred bytes each; beyond, the rates are joined by salted shuffle
+SALTS = 64
 
 
 def square_root_weights(docs: DataFrame) -> DataFrame:
@@ -50,7 +52,12 @@ def rates(docs: DataFrame, weights: DataFrame) -> DataFrame:
 def poisson_mix(docs: DataFrame, weights: DataFrame | None = None, seed: str = SEED) -> DataFrame:
     """Rows of ``docs`` repeated by their draws, with ``copy`` (from 1) and ``shuffle_key``, shuffled globally."""
     weights = square_root_weights(docs) if weights is None else weights
-    drawn = docs.join(rates(docs, weights), F.expr("source <=> r_source"))
+    table = rates(docs, weights)
+    if docs.select("source").distinct().count() <= BROADCAST_SOURCES:
+        drawn = docs.join(F.broadcast(table), F.expr("source <=> r_source"))
+    else:  # a source's documents are dealt to SALTS partitions
+        salted = table.withColumn("r_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        drawn = docs.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, F.expr("source <=> r_source and _salt = r_salt"))
     one = lambda part: F.size(F.filter("cdf", lambda c: c <= _uniform(seed, F.col("doc_id"), part)))
     copies = F.aggregate(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), one), F.lit(0), lambda a, b: a + b)
     out = drawn.withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
