@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark then deletes a query's shuffle files when the query ends, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset."""
@@ -26,7 +29,12 @@ class Scratch:
     def save(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out
