@@ -11,8 +11,9 @@ grows with the size class of a set, and each set falls into K segments.
 A group of near copies isn't expanded into all its pairs. In each of ``STAR_ROUNDS`` rounds, every block of sets
 with an equal segment is compared with one leader, and only across components found so far. A last round
 compares all the rest that are still in different components, so no link between components is missed.
-Pairs are dropped before counting only by sound bounds: sizes, and the parities of 512 hash cells, whose
-differing number is at most that of differing n-grams.
+Pairs are dropped before counting only by sound bounds: sizes, and the parities of hash cells, whose differing
+number is at most that of differing n-grams. All sets have 512 cells; larger ones also have a power of two that grows
+with the set, and of two sets the one with more is folded. N-grams are sent only for pairs that both bounds leave.
 
 Results: texts without words, empty and null texts have an empty set, are linked with nothing and
 are their own component. Repeated ids count as one document each row. Other columns are not read.
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -34,6 +35,7 @@ from .wordhash import Words, mix, shingle_hashes
 STAR_ROUNDS = 2
 VERIFY_FRAGMENTS = 4
 CELLS = 8  # longs of 64 parity cells each
+CELLS_PER_NGRAM = 0.55  # at least, of large sets: unrelated ones then differ in about a quarter of their n-grams' number
 SIZE_STEP = (3, 2)  # a size class ends where sets are this much larger than where it begins
 
 
@@ -79,14 +81,33 @@ def _segment_keys(tokens: np.ndarray, digest_sums: np.ndarray, c: int, k: int) -
     return keys[sizes > 0] if (sizes == 0).sum() <= 1 else keys
 
 
+def _parities(tokens: np.ndarray, cells: int) -> np.ndarray:
+    """Whether each hash cell holds an odd number of n-grams, as 64-bit numbers; XOR of its halves is that of half the cells."""
+    return np.packbits((np.bincount((tokens & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1).astype(np.uint8)).view(np.int64)
+
+
+def _cells(n: int) -> int:
+    """Parity cells of a set of n: none besides the 512 of all sets, or the power of two that holds enough of them."""
+    cells = 64 * CELLS
+    while cells < CELLS_PER_NGRAM * n:
+        cells *= 2
+    return cells if cells > 64 * CELLS else 0
+
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)))
+
+
 def _summaries(num: int, den: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, limit, starts = Words(), Threshold(num, den), [1]
         for batch in batches:
             n_rows = batch.num_rows
             sizes, sigs = np.zeros(n_rows, np.int64), np.zeros((n_rows, 2), np.uint64)
-            cells = np.zeros((n_rows, CELLS * 8), np.uint8)
+            parity = np.zeros((n_rows, CELLS), np.int64)
             keys: list[np.ndarray] = [np.zeros(0, np.uint64)] * n_rows
+            cells: list[np.ndarray] = [np.zeros(0, np.int64)] * n_rows
             for row, tokens in _sets(words, batch.column(1), k):
                 n = sizes[row] = len(tokens)
                 if not n:
@@ -94,15 +115,14 @@ def _summaries(num: int, den: int, k: int):
                 sums = np.zeros(n + 1, np.uint64)
                 np.cumsum(mix(tokens), out=sums[1:])
                 sigs[row] = sums[n], np.bitwise_xor.reduce(tokens * np.uint64(0x9E3779B97F4A7C15) ^ (tokens >> np.uint64(29)))
-                cells[row] = np.packbits((np.bincount((tokens & np.uint64(CELLS * 64 - 1)).astype(np.int64), minlength=CELLS * 64) & 1).astype(np.uint8))
+                parity[row] = _parities(tokens, 64 * CELLS)
+                if wide := _cells(int(n)):
+                    cells[row] = _parities(tokens, wide)
                 found = [_segment_keys(tokens, sums, c, f) for c, f in limit.classes(int(n), starts)]
                 if found:
                     keys[row] = np.concatenate(found)
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys).view(np.int64) if n_rows else np.zeros(0, np.int64)))
-            parity = cells.view(np.int64).reshape(n_rows, CELLS)
-            columns = [batch.column(0), pa.array(sizes), *(pa.array(sigs[:, j].copy().view(np.int64)) for j in (0, 1)), *(pa.array(parity[:, j].copy()) for j in range(CELLS)), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "sig1", "sig2", *(f"p{j}" for j in range(CELLS)), "keys"])
+            columns = [batch.column(0), pa.array(sizes), *(pa.array(sigs[:, j].copy().view(np.int64)) for j in (0, 1)), *(pa.array(parity[:, j].copy()) for j in range(CELLS)), _lists(cells), _lists(keys)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "sig1", "sig2", *(f"p{j}" for j in range(CELLS)), "cells", "keys"])
 
     return run
 
@@ -128,12 +148,24 @@ def _segments(k: int):
     return run
 
 
+def _wide_gap(a: str, b: str) -> Column:
+    """Differing parities of two sets with cells of their own, after folding the longer; 0 where one has none."""
+
+    def folded(x: str, y: str) -> str:
+        half = f"size({x}) div 2"
+        return f"if(size({x}) > size({y}), zip_with(slice({x}, 1, {half}), slice({x}, {half} + 1, {half}), (u, v) -> u ^ v), {x})"
+
+    odd = f"aggregate(zip_with({folded(a, b)}, {folded(b, a)}, (u, v) -> bit_count(u ^ v)), 0L, (s, v) -> s + v)"
+    comparable = f"size({a}) > 0 and size({b}) > 0 and size({a}) <= 2 * size({b}) and size({b}) <= 2 * size({a})"
+    return F.expr(f"if({comparable}, {odd}, 0L)")
+
+
 def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) per row: components of all pairs with Jaccard similarity >= num / den."""
     limit, scratch = Threshold(num, den), Scratch(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     parity = [f"p{j}" for j in range(CELLS)]
-    schema = f"id long, n long, sig1 long, sig2 long, {', '.join(f'{p} long' for p in parity)}, keys array<long>"
+    schema = f"id long, n long, sig1 long, sig2 long, {', '.join(f'{p} long' for p in parity)}, cells array<long>, keys array<long>"
     summary = scratch.save(texts.mapInArrow(_summaries(num, den, words), schema))
 
     reps = summary.where("n > 0").groupBy("sig1", "sig2", "n").agg(F.min("id").alias("rep"))
@@ -144,9 +176,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     if posts.isEmpty():
         return members.select("id", F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"))
     posted = scratch.save(posts.select("id").distinct())
-    digests = scratch.save(summary.select("id", "n", *parity).join(posted, "id", "left_semi").dropDuplicates(["id"]))
+    digests = scratch.save(summary.select("id", "n", *parity, "cells").join(posted, "id", "left_semi").dropDuplicates(["id"]))
     scratch.drop(summary)
-    segments = scratch.save(texts.join(posted, "id", "left_semi").mapInArrow(_segments(words), "id long, fragment int, tokens array<long>").dropDuplicates(["id", "fragment"]))
 
     labels = posted.withColumn("component", F.col("id"))
     links = tested = None
@@ -154,6 +185,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     side = lambda c: digests.select(F.col("id").alias(c), F.col("n").alias(f"{c}_n"), *(F.col(p).alias(f"{c}_{p}") for p in parity))
     room = F.expr(f"{den - num} * (a_n + b_n)")
     bounds = (F.abs(F.col("a_n") - F.col("b_n")) * (den + num) <= room) & (differing * (den + num) <= room)
+    wide = lambda c: digests.select(F.col("id").alias(c), F.col("n").alias(f"{c}_n"), F.col("cells").alias(f"{c}_cells"))
     for turn in range(STAR_ROUNDS + 1):
         block = posts.join(labels, "id")
         mixed = block.groupBy("key").agg(F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("a"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
@@ -175,10 +207,14 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
             if turn < STAR_ROUNDS:
                 continue
             break
-        seg = lambda c: segments.select(F.col("id").alias(c), "fragment", F.col("tokens").alias(f"{c}_tokens"))
-        partial = pairs.join(seg("b"), "b").join(seg("a"), ["a", "fragment"]).select("a", "b", F.size(F.array_intersect("a_tokens", "b_tokens")).alias("part"), F.size("a_tokens").alias("a_n"), F.size("b_tokens").alias("b_n"))
+        near = scratch.save(pairs.join(wide("b"), "b").join(wide("a"), "a").where(room >= (den + num) * _wide_gap("a_cells", "b_cells")).select("a", "b"))
+        ends_of = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        segments = scratch.save(texts.join(ends_of, "id", "left_semi").mapInArrow(_segments(words), "id long, fragment int, tokens array<long>").dropDuplicates(["id", "fragment"]))
+        seg = lambda c: segments.select(F.col("id").alias(c), "fragment", F.col("tokens").alias(f"{c}_tokens"))  # noqa: E731, B023
+        partial = near.join(seg("b"), "b").join(seg("a"), ["a", "fragment"]).select("a", "b", F.size(F.array_intersect("a_tokens", "b_tokens")).alias("part"), F.size("a_tokens").alias("a_n"), F.size("b_tokens").alias("b_n"))
         counted = partial.groupBy("a", "b").agg(F.sum("part").alias("both"), (F.sum("a_n") + F.sum("b_n")).alias("total"))
         new = scratch.save(counted.where(f"{den} * both >= {num} * (total - both)").select("a", "b"))
+        scratch.drop(segments, near)
         links = new if links is None else links.unionByName(new)
         tested = pairs if tested is None else tested.unionByName(pairs)
         labels = scratch.save(posted.join(connected_components(links, scratch), "id", "left").select("id", F.coalesce("component", "id").alias("component")))
