@@ -63,6 +63,22 @@ def test_jaccard_components_equal_brute_force(spark, k, num):
     assert got == {i: (len(s), c) for i, (s, c) in enumerate(zip(sets, brute_components(sets, num, 100), strict=True))}
 
 
+def test_jaccard_of_large_sets_equals_brute_force(spark):
+    """Sets of about 930 and 1,862 shingles, where the number of parity cells changes, on both sides of the threshold."""
+    rng = random.Random(4)
+    texts = []
+    for n in (930, 1864, 2400):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        for share in (0, 18, 21, 23, 25, 40):  # of a thousand words; each new word changes five shingles
+            copy = list(base)
+            for at in rng.sample(range(n), n * share // 1000):
+                copy[at] = f"z{rng.randrange(10**6)}"
+            texts.append(" ".join(copy[rng.randrange(9) :]))
+    sets = sets_of(texts, 5)
+    got = {r.id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs(spark, texts), 5, 80, 100).collect()}
+    assert got == {i: (len(s), c) for i, (s, c) in enumerate(zip(sets, brute_components(sets, 80, 100), strict=True))}
+
+
 def test_jaccard_of_an_empty_table(spark):
     assert ngram_join.jaccard_components(docs(spark, []), 3, 90, 100).count() == 0
 
