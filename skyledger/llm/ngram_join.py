@@ -168,7 +168,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     schema = f"id long, n long, sig1 long, sig2 long, {', '.join(f'{p} long' for p in parity)}, cells array<long>, keys array<long>"
     summary = scratch.save(texts.mapInArrow(_summaries(num, den, words), schema))
 
-    reps = summary.where("n > 0").groupBy("sig1", "sig2", "n").agg(F.min("id").alias("rep"))
+    # Written first, so that the join's sides are both dealt for it alone and a hot group of copies can be split among tasks.
+    reps = scratch.save(summary.where("n > 0").groupBy("sig1", "sig2", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m"))
     members = scratch.save(summary.select("id", "n", "sig1", "sig2").join(reps, ["sig1", "sig2", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")))
     only = summary.where("size(keys) > 0").select("id", F.explode("keys").alias("key")).join(members.where("id = rep").select("id"), "id", "left_semi").repartition("key")
     shared = only.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
