@@ -129,6 +129,19 @@ def test_html_template_of_a_host_goes(spark):
     assert got[3] == ("story number 3", 14) and got[100][0] == "Read our paper daily" and got[101] == got[102] == ("", 0) and len(got) == 23
 
 
+def test_html_copies_of_a_page_keep_their_text(spark):
+    def page(story):
+        return f"<body><div class=x><p>Read our paper daily</p></div><div><p>{story}</p></div></body>"
+
+    rows = [(i, f"http://h.test/{i}", page(f"story number {i}")) for i in range(20)]
+    rows += [(100 + i, f"http://h.test/copy/{i}", page("the copied story")) for i in range(60)]
+    rows += [(300 + i, f"http://g.test/{i}", page(f"story number {i}")) for i in range(20)]
+    rows += [(200, "http://g.test/again", page("the repeated story"))] * 60
+    got = html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in got if r.page_id == 200} == {"the repeated story"} and {r.text for r in got if 100 <= r.page_id < 200} == {"the copied story"}
+    assert {r.text for r in got if r.page_id < 100 or r.page_id >= 300} == {f"story number {i}" for i in range(20)} and len(got) == len(rows)
+
+
 def test_codec_against_the_library_and_round_trip(spark):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as pb
