@@ -2,6 +2,8 @@
 
 Spaces become the marker U+2581 and one marker is put before the text. No piece has a marker after another character,
 so the best segmentation of a text is that of its runs of markers with the word after them, each solved once and remembered.
+The vocabulary's file has merge ranks in place of scores, so pieces get log probabilities by ``ROUNDS`` rounds of expectation maximisation
+over the counted runs of all documents, from equal ones; ``SMOOTHING`` uses are added to each piece.
 A character without a piece costs the least score less 10 and is spelt in byte pieces. Decoding joins pieces and bytes,
 turns markers into spaces and drops the first space; it restores every text that has no marker of its own.
 
@@ -11,7 +13,9 @@ Null texts give null ids and decode to null; empty texts give no ids. Other colu
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import replace
 from itertools import chain
 
 import numpy as np
@@ -19,11 +23,67 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .language_id import batches_of, expected_counts
 from .piece_trie import SPACE, VOCABULARY, PieceTrie, build_trie, char_bytes, matches, padded
+from .scratch import Scratch
 
 CACHE = 400_000  # remembered runs of each worker; it starts anew beyond
 LONG_RUN = 256  # bytes; longer runs are solved one at a time
 SLAB = 1 << 20
+ROUNDS = 3
+SMOOTHING = 0.05
+RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+
+
+def runs_of(text: str) -> list[str]:
+    """Runs of markers, at least one, with the word after them."""
+    return RUNS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
+
+def learned_scores(docs: DataFrame, text_col: str, trie: PieceTrie) -> np.ndarray:
+    """Log probability of each piece over the runs of all documents; what text never yields has the least one."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["run", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                seen.update(runs_of(text or ""))
+                if len(seen) > CACHE:
+                    yield rows()
+                    seen.clear()
+        yield rows()
+
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    counted = scratch.save(docs.select(text_col).mapInArrow(count, "run string, n long").groupBy("run").agg(F.sum("n").alias("n")))
+    shared = spark.sparkContext.broadcast(trie)
+    usable = np.zeros(len(trie.pieces), bool)
+    usable[trie.piece[trie.piece >= 0]] = True
+    log_p = np.where(usable, -np.log(usable.sum()), -np.inf)
+    for _ in range(ROUNDS):
+        now = spark.sparkContext.broadcast(log_p[:, None])
+
+        def expect(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            used = np.zeros(len(now.value))
+            for batch in batches:
+                uses = dict(zip((r[1:] for r in batch.column(0).to_pylist()), batch.column(1).to_pylist(), strict=True))
+                for words in batches_of(list(uses)):  # a run's first marker is put before it again
+                    used += expected_counts(shared.value, now.value, words, np.array([[float(uses[w])] for w in words]))[:, 0]
+            ids = np.flatnonzero(used)
+            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array(used[ids])], names=["piece", "used"])
+
+        used = np.where(usable, SMOOTHING, 0.0)
+        for r in counted.mapInArrow(expect, "piece int, used double").groupBy("piece").agg(F.sum("used").alias("used")).collect():
+            used[r.piece] += r.used
+        with np.errstate(divide="ignore"):
+            log_p = np.log(used / used.sum())
+        now.unpersist()
+    scratch.drop(counted)
+    # Sums differ in their last digits with the order of tasks; rounded, ties stay ties.
+    return np.round(np.where(usable, log_p, log_p[usable].min()), 6)
 
 
 def viterbi(trie: PieceTrie, runs: list[bytes]) -> list[tuple[int, ...]]:
@@ -74,7 +134,6 @@ def viterbi(trie: PieceTrie, runs: list[bytes]) -> list[tuple[int, ...]]:
 class Encoder:
     def __init__(self, trie: PieceTrie):
         self.trie, self.known = trie, {}
-        self.runs = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
     def learn(self, runs: set[str]) -> None:
         new = sorted((r for r in runs if r not in self.known), key=len)
@@ -90,7 +149,7 @@ class Encoder:
             at += count
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        runs = [None if t is None else self.runs.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        runs = [None if t is None else runs_of(t) for t in texts]
         distinct = set(chain.from_iterable(r for r in runs if r))
         if not distinct <= self.known.keys():
             self.learn(distinct)
@@ -112,7 +171,8 @@ class Decoder:
 
 def encode(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, restore: bool = False) -> DataFrame:
     """``docs`` without the text, with ids; with ``restore`` also whether decoding them gives the text again."""
-    trie = docs.sparkSession.sparkContext.broadcast(build_trie(vocabulary))
+    ranked = build_trie(vocabulary)
+    trie = docs.sparkSession.sparkContext.broadcast(replace(ranked, scores=learned_scores(docs, text_col, ranked)))
     kept = [c for c in docs.columns if c != text_col]
     extra = "_ids array<int>, _n int" + (", _restored boolean" if restore else "")
     names = {"_ids": "ids", "_n": "n_ids", "_restored": "restored"}

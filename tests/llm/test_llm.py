@@ -162,6 +162,19 @@ def test_codec_against_the_library_and_round_trip(spark):
     assert [r.text for r in sentencepiece_codec.decode(tokens).orderBy("doc_id").collect()] == EDGES
 
 
+def test_codec_scores_are_learned_from_all_documents(spark):
+    trie = build_trie()
+    df = docs(spark, ["the transformation of language models", None, ""] * 300 + ["street"])
+    got = sentencepiece_codec.encode(df, restore=True).where("n_ids > 0").collect()
+    words = {r.doc_id: [trie.pieces[i] for i in r.piece_ids] for r in got}
+    assert all(r.restored for r in got) and "▁the" in words[0] and "▁of" in words[0] and len(words[0]) < 9
+    scores = sentencepiece_codec.learned_scores(df, "text", trie)
+    usable = list(set(trie.piece[trie.piece >= 0].tolist()))
+    assert np.isfinite(scores).all() and abs(np.exp(scores[usable]).sum() - 1) < 1e-3
+    assert scores[trie.pieces.index("▁the")] > scores[trie.pieces.index("▁street")] > scores[trie.pieces.index("▁question")]
+    assert len(set(sentencepiece_codec.learned_scores(df.limit(0), "text", trie)[usable])) == 1
+
+
 def test_viterbi_equals_brute_force():
     trie = build_trie()
     ids = {p: i for i, p in enumerate(trie.pieces)}
