@@ -1,9 +1,10 @@
-"""License scans: winnowed fingerprints of templates pick candidates, banded alignment reports coverage and spans.
+"""License scans: fingerprints of templates pick candidates, banded alignment reports coverage and spans.
 
-Words are runs of letters, digits and bytes beyond ASCII, lower-cased in A-Z. The inverted index maps the hash of ``GRAM`` consecutive template
-words to (template, place). A text keeps the least hash of each ``WINDOW`` consecutive ones (winnowing), so every run of
-``GRAM + WINDOW - 1`` words equal to a template's is found; each stretch of the text around hits is aligned with the
-template in a band around its diagonal. Templates are a short list that the caller gives, at most ``MAX_TEMPLATES``.
+Words are runs of letters, digits and bytes beyond ASCII, lower-cased in A-Z. The inverted index maps the hash of consecutive template
+words to (template, place). A template's gram length is ``GRAM`` or less, so that every match of ``COVERAGE`` with at most a band of
+inserted words has that many template words in a row. Every gram of a text is looked up; each stretch around hits that has enough of the
+template's words is aligned with it in a band around its diagonal. Of overlapping matches of a template the fullest is reported.
+Templates are a short list that the caller gives, at most ``MAX_TEMPLATES``.
 
 One row for each template and place whose matched words are at least ``COVERAGE`` of the template. Null, empty and unmatched texts give no rows.
 Repeated rows are reported each. Very long texts are read whole, in chunks of whole texts.
@@ -11,8 +12,10 @@ Repeated rows are reported each. Very long texts are read whole, in chunks of wh
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections import defaultdict
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,6 @@ from pyspark.sql import functions as F
 from .wordhash import Words, shingle_hashes
 
 GRAM = 3
-WINDOW = 2
 COVERAGE = 0.8
 MAX_TEMPLATES = 2_000
 #: Notices by which texts name their license.
@@ -72,57 +74,67 @@ def align(template: np.ndarray, text: np.ndarray, band: int) -> tuple[int, int,
     return matched, first - 1, last - 1
 
 
+def band_of(size: int) -> int:
+    """Words by which a match of a template of so many words may leave its diagonal; fewer than the template has."""
+    return min(max(2, size // 8), size - 1)
+
+
+def gram_length(size: int) -> int:
+    """A run of template words that no reportable match lacks: it is broken by missing words and by a band of inserted ones."""
+    least = ceil(COVERAGE * size - 1e-9)
+    return min(GRAM, ceil(least / (size - least + 1 + band_of(size))))
+
+
 class Index:
     def __init__(self, templates: dict[str, str]):
         if len(templates) > MAX_TEMPLATES:
             raise ValueError("too many templates for an index in memory")
         self.names, self.words = list(templates), []
         reader = LicenseWords()
-        places: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        places: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
         for t, (_, _, hashes) in enumerate(c for name in self.names for c in reader.chunks(pa.array([templates[name]]))):
             self.words.append(hashes)
-            for p, g in enumerate(shingle_hashes(hashes, GRAM)):
-                places[int(g)].append((t, p))
-        self.places = dict(places)
-        self.keys = np.array(sorted(places), np.uint64)
+            if len(hashes):
+                k = gram_length(len(hashes))
+                for p, g in enumerate(shingle_hashes(hashes, k)):
+                    places[k][int(g)].append((t, p))
+        self.places = {k: dict(found) for k, found in places.items()}
+        self.keys = {k: np.array(sorted(found), np.uint64) for k, found in places.items()}
 
     def scan(self, words: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(document, template, matched words, first and last word) of each report in a chunk."""
-        if not len(words) or not len(self.keys):
-            return []
-        grams = np.concatenate([shingle_hashes(words, GRAM)[: max(0, len(words) - GRAM + 1)] if len(words) >= GRAM else np.zeros(0, np.uint64)])
-        views = np.lib.stride_tricks.sliding_window_view(grams, WINDOW) if len(grams) >= WINDOW else grams.reshape(1, -1)[:, : len(grams)]
-        if not views.size:
-            picked = np.zeros(0, np.int64)
-        else:
-            picked = np.unique(views.argmin(axis=1) + np.arange(len(views)))
-        picked = np.union1d(picked, np.clip(np.concatenate([bounds[:-1], bounds[1:] - GRAM]), 0, max(0, len(grams) - 1))) if len(grams) else picked
-        picked = picked.astype(np.int64)
-        at = np.searchsorted(self.keys, grams[picked])
-        hits = picked[self.keys[np.minimum(at, len(self.keys) - 1)] == grams[picked]]
-        docs = np.searchsorted(bounds, hits, "right") - 1
-        hits, docs = hits[hits + GRAM <= bounds[docs + 1]], docs[hits + GRAM <= bounds[docs + 1]]
         around = defaultdict(set)
-        for p, d in zip(hits.tolist(), docs.tolist(), strict=True):
-            for t, q in self.places[int(grams[p])]:
-                around[d, t].add(p - q)
+        for k, keys in self.keys.items():
+            if len(words) < k:
+                continue
+            grams = shingle_hashes(words, k)
+            hits = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, grams), len(keys) - 1)] == grams)
+            docs = np.searchsorted(bounds, hits, "right") - 1
+            inside = hits + k <= bounds[docs + 1]
+            for p, d in zip(hits[inside].tolist(), docs[inside].tolist(), strict=True):
+                for t, q in self.places[k][int(grams[p])]:
+                    around[d, t].add(p - q)
         out = []
         for (d, t), starts in sorted(around.items()):
             size = len(self.words[t])
-            band = max(2, size // 8)
+            band = band_of(size)
             low, high = int(bounds[d]), int(bounds[d + 1])
-            done = -1
-            for start in sorted(starts):
-                if start <= done:
-                    continue
-                # Hits within a band of this diagonal are of the same place.
+            found = set()
+            for start in starts:
                 begin = max(low, start - band)
                 pad = band - (start - begin)
-                text = np.concatenate([np.zeros(pad, np.uint64), words[begin : min(high, start + size + band)]])
-                matched, first, last = align(self.words[t], text, band)
+                text = words[begin : min(high, start + size + band)]
+                if np.isin(self.words[t], text).sum() < COVERAGE * size:
+                    continue
+                matched, first, last = align(self.words[t], np.concatenate([np.zeros(pad, np.uint64), text]), band)
                 if matched >= COVERAGE * size:
-                    out.append((d, t, matched, begin - pad + first, begin - pad + last))
-                    done = start + band
+                    found.add((-matched, last - first, begin - pad + first))
+            taken: list[tuple[int, int, int]] = []
+            for less, span, first in sorted(found):
+                at = bisect(taken, (first,))
+                if (not at or taken[at - 1][1] < first) and (at == len(taken) or first + span < taken[at][0]):
+                    taken.insert(at, (first, first + span, -less))
+            out.extend((d, t, matched, first, last) for first, last, matched in taken)
         return out
 
 

@@ -260,6 +260,22 @@ def test_license_spans(spark):
     assert license_scan.scan_licenses(docs(spark, [])).isEmpty()
 
 
+def test_license_short_templates_are_found_in_any_context():
+    index = license_scan.Index({"two": "Public domain", "one": "Unlicense", "three": "All rights reserved.", "mit": "Released under the MIT License."})
+    reader = license_scan.LicenseWords()
+
+    def found(text):
+        (_, bounds, words), = reader.chunks(license_scan.pa.array([text]))
+        return [(index.names[t], m, a, z) for _, t, m, a, z in index.scan(words, bounds)]
+
+    for i in range(200):
+        assert found(f"a{i} b{i} c{i} all rights reserved d{i} e{i} f{i}") == [("three", 3, 3, 5)]
+        assert found(f"a{i} b{i} c{i} public domain d{i} unlicense e{i} unlicense") == [("two", 2, 3, 4), ("one", 1, 6, 6), ("one", 1, 8, 8)]
+    assert found("w x released under MIT license y z") == [("mit", 4, 2, 5)]
+    assert found("x all other rights reserved y") == [("three", 3, 1, 4)]
+    assert found("under x x released under the mit license y") == [("mit", 5, 3, 7)]
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<float>, label int")
 
