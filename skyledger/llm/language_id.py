@@ -7,21 +7,24 @@ Probabilities are learned by expectation maximisation with the matching backward
 
 Null texts and those without a letter give ``und`` and score 0. Without labelled documents every text gives ``und``. Ties go to the
 language that sorts first. Characters outside the vocabulary cost the same in every language. Repeated rows are scored alike.
+Very long texts are read whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from .piece_trie import SPACE, VOCABULARY, PieceTrie, build_trie, char_bytes, matches, padded
+from .scratch import Scratch, add_columns, share
 
 SAMPLE_PER_LANGUAGE = 400
 ROUNDS = 3
@@ -98,89 +101,128 @@ def expected_counts(trie: PieceTrie, log_p: np.ndarray, words: list[str], counts
     out = np.zeros_like(table)
     for s, r, end, ids in reversed(edges):
         step = table[ids] + beta[r, end]
-        np.add.at(out, ids, np.exp(np.minimum(alpha[r, s] + step - total[r], 0)) * counts[r])
+        uses = np.exp(np.minimum(alpha[r, s] + step - total[r], 0)) * counts[r]
+        at, back = np.unique(ids, return_inverse=True)
+        for c in range(out.shape[1]):
+            out[at, c] += np.bincount(back, uses[:, c], len(at))
         beta[r, s] = np.logaddexp(beta[r, s], step)
     return out[:-1]
 
 
-def _sampled(labelled: DataFrame) -> DataFrame:
-    """At most about SAMPLE_PER_LANGUAGE documents of each language by the hash of their id; labels are few, so their counts are collected."""
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = sizes.select(F.col("lang").alias("s_lang"), F.least(F.lit(1.0), SAMPLE_PER_LANGUAGE / F.col("n")).alias("share"))
+def learned(counted: DataFrame, trie: PieceTrie, classes: int) -> np.ndarray:
+    """Log probability of each piece in each class by expectation maximisation, from a table (word, class, n) of counts.
+
+    Executors sum the expected uses; only a sum for each piece and class comes to the driver. What text never yields has minus infinity.
+    Sums differ in their last digits with the order of tasks; they are rounded, so that ties stay ties.
+    """
+    spark = counted.sparkSession
+    shared = share(spark, trie)
+    usable = np.zeros(len(trie.pieces), bool)
+    usable[trie.piece[trie.piece >= 0]] = True
+    log_p = np.where(usable[:, None], -np.log(usable.sum()), -np.inf) * np.ones((1, classes))
+    for _ in range(ROUNDS):
+        now = share(spark, log_p)
+
+        def expect(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            trie, log_p = shared(), now()
+            used = np.zeros(log_p.shape)
+            for batch in batches:
+                at: dict[str, int] = {}
+                rows = [at.setdefault(w, len(at)) for w in batch.column(0).to_pylist()]
+                counts = np.zeros((len(at), log_p.shape[1]))
+                np.add.at(counts, (rows, np.asarray(batch.column(1))), np.asarray(batch.column(2)))
+                for words in batches_of(list(at)):
+                    used += expected_counts(trie, log_p, words, counts[[at[w] for w in words]])
+            piece, of = np.nonzero(used)
+            yield pa.RecordBatch.from_arrays([pa.array(piece.astype(np.int32)), pa.array(of.astype(np.int32)), pa.array(used[piece, of])], names=["piece", "class", "used"])
+
+        used = np.where(usable[:, None], SMOOTHING, 0.0) * np.ones((1, classes))
+        for r in counted.mapInArrow(expect, "piece int, class int, used double").groupBy("piece", "class").agg(F.sum("used").alias("used")).collect():
+            used[r[0], r[1]] += r[2]
+        with np.errstate(divide="ignore"):
+            log_p = np.round(np.log(used / used.sum(axis=0)), 6)
+    return log_p
+
+
+def _sampled(labelled: DataFrame, sizes: DataFrame) -> DataFrame:
+    """At most about SAMPLE_PER_LANGUAGE documents of each language by the hash of their id."""
+    share_of = sizes.select(F.col("lang").alias("s_lang"), F.least(F.lit(1.0), SAMPLE_PER_LANGUAGE / F.col("n")).alias("share"))
     lot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.join(F.broadcast(share), F.col("lang") == F.col("s_lang")).where(lot < F.col("share"))
+    return labelled.join(share_of, F.col("lang") == F.col("s_lang")).where(lot < F.col("share"))
 
 
 def train(labelled: DataFrame, trie: PieceTrie) -> LanguageModel | None:
-    """Fit from (doc_id, text, lang); None where nothing is labelled."""
+    """Fit from (doc_id, text, lang); None where nothing is labelled. There are as many languages as a model can hold, so they are collected."""
+    scratch = Scratch(labelled.sparkSession)
+    sizes = labelled.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = labelled.sparkSession.createDataFrame(sizes.collect(), sizes.schema)
+    languages = sorted(r.lang for r in sizes.collect())
+    if not languages:
+        return None
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
         seen: dict[str, Counter] = {}
+
+        def rows() -> pa.RecordBatch:
+            flat = [(w, languages.index(lang), n) for lang, c in seen.items() for w, n in c.items()]
+            return pa.RecordBatch.from_arrays([pa.array([r[j] for r in flat], kind) for j, kind in enumerate((pa.string(), pa.int32(), pa.int64()))], names=["word", "class", "n"])
+
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seen.setdefault(lang, Counter()).update(words_of(text or ""))
-        rows = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())], names=["lang", "word", "n"])
+                if sum(map(len, seen.values())) > CACHE:
+                    yield rows()
+                    seen.clear()
+        yield rows()
 
-    rows = _sampled(labelled).select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toPandas()
-    if not len(rows):
-        return None
-    languages = sorted(rows.lang.unique())
-    words = sorted(rows.word.unique())
-    at = {w: i for i, w in enumerate(words)}
-    counts = np.zeros((len(words), len(languages)))
-    np.add.at(counts, (rows.word.map(at).to_numpy(), rows.lang.map({c: i for i, c in enumerate(languages)}).to_numpy()), rows.n.to_numpy())
-    usable = np.zeros(len(trie.pieces), bool)
-    usable[trie.piece[trie.piece >= 0]] = True
-    log_p = np.where(usable[:, None], -np.log(usable.sum()), -np.inf) * np.ones((1, len(languages)))
-    for _ in range(ROUNDS):
-        used = sum(expected_counts(trie, log_p, part, counts[[at[w] for w in part]]) for part in batches_of(words))
-        used = np.where(usable[:, None], used + SMOOTHING, 0)
-        with np.errstate(divide="ignore"):
-            log_p = np.log(used / used.sum(axis=0))
-    return LanguageModel(languages, log_p)
+    counted = _sampled(labelled, sizes).select("lang", "text").mapInArrow(count, "word string, class int, n long").groupBy("word", "class").agg(F.sum("n").alias("n"))
+    counted = scratch.save(counted)
+    model = LanguageModel(languages, learned(counted, trie, len(languages)))
+    scratch.drop(counted)
+    return model
 
 
 def identify(docs: DataFrame, labelled: DataFrame, vocabulary: str = VOCABULARY, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with lang_pred and score (the posterior of the prediction under equal priors)."""
+    """``docs`` (or its columns ``keep``) with lang_pred and score (the posterior of the prediction under equal priors).
+
+    A column of the table that has a result's name is kept; the result then gets underscores in front of its own.
+    """
     trie = build_trie(vocabulary)
-    shared = docs.sparkSession.sparkContext.broadcast((trie, train(labelled, trie)))
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    shared = share(docs.sparkSession, (trie, train(labelled.select("doc_id", "text", "lang"), trie)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, model = shared.value
+    def start():
+        trie, model = shared()
         row_of: dict[str, int] = {}
         table = np.zeros((1024, len(model.languages) if model else 1))
-        for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                texts = [words_of(t or "") if model else [] for t in part.column(0).to_pylist()]
-                new = list(set(chain.from_iterable(texts)) - row_of.keys())
-                if len(row_of) + len(new) > CACHE:
-                    row_of.clear()
-                    new = list(set(chain.from_iterable(texts)))
-                while len(row_of) + len(new) > len(table):
-                    table = np.vstack([table, np.zeros_like(table)])
-                for words in batches_of(new):
-                    first = len(row_of)
-                    table[first : first + len(words)] = forward(trie, model.log_p, words)[0]
-                    row_of.update(zip(words, range(first, first + len(words)), strict=True))
-                pred, score = [], []
-                for words in texts:
-                    if not words:
-                        pred.append("und")
-                        score.append(0.0)
-                        continue
-                    logs = table[np.fromiter(map(row_of.__getitem__, words), np.int64, len(words))].sum(axis=0)
-                    best = int(logs.argmax())
-                    pred.append(model.languages[best])
-                    score.append(float(1 / np.exp(logs - logs[best]).sum()))
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(pred), pa.array(score)], names=[*kept, "lang_pred", "score"])
-
-    fields = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "lang_pred string, score double"])
-    return docs.select(F.col("text").alias("_text"), *kept).mapInArrow(run, fields)
+
+        def work(column: pa.Array) -> list[pa.Array]:
+            nonlocal table
+            texts = [words_of(t or "") if model else [] for t in column.to_pylist()]
+            new = set().union(*texts) - row_of.keys()
+            if len(row_of) + len(new) > CACHE:
+                row_of.clear()
+                new = set().union(*texts)
+            while len(row_of) + len(new) > len(table):
+                table = np.vstack([table, np.zeros_like(table)])
+            for words in batches_of(list(new)):
+                first = len(row_of)
+                table[first : first + len(words)] = forward(trie, model.log_p, words)[0]
+                row_of.update(zip(words, range(first, first + len(words)), strict=True))
+            pred, score = [], []
+            for words in texts:
+                if not words:
+                    pred.append("und")
+                    score.append(0.0)
+                    continue
+                logs = table[np.fromiter(map(row_of.__getitem__, words), np.int64, len(words))].sum(axis=0)
+                best = int(logs.argmax())
+                pred.append(model.languages[best])
+                score.append(float(1 / np.exp(logs - logs[best]).sum()))
+            return [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
+
+        return work
+
+    return add_columns(docs, [F.col("text")], docs.columns if keep is None else keep, {"lang_pred": StringType(), "score": DoubleType()}, start)
 
 
 def held_out(modulus: int, remainder: int):

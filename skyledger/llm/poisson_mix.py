@@ -5,8 +5,9 @@ of that rate at a uniform number hashed from (seed, doc_id): the number of k wit
 exploded and dealt out by the hash of (seed, doc_id, copy), which also orders each partition: a global shuffle.
 
 Rates over 500 are drawn as sums of equal smaller draws, as exp() would underflow. A null source is a source of its own;
-a source without a target weight has weight 0 and goes. Equal ids draw the same number. A null id counts as the text 'null'.
-An empty table gives no rows. All columns are kept, besides ``copy`` and ``shuffle_key``.
+a source without a target weight has weight 0 and goes. Equal ids draw the same number, so repeated rows are repeated alike. A null id counts as
+the text 'null'. Null and empty texts are rows like others; texts aren't read. An empty table gives no rows. All columns are kept, whatever their
+names, besides ``copy`` and ``shuffle_key``; where the table has these, the new ones get underscores in front.
 """
 
 from __future__ import annotations
@@ -14,17 +15,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import Scratch, fresh
+
 SEED = "mix-1"
 PART = 500.0
 BROADCAST_SOURCES = 10_000  # of some hundred bytes each; beyond, the rates are joined by salted shuffle
 SALTS = 64
 
 
-def square_root_weights(docs: DataFrame) -> DataFrame:
+def square_root_weights(sizes: DataFrame) -> DataFrame:
     """Target weights between the sources' own shares and equal ones: proportional to the root of their sizes."""
-    sizes = docs.groupBy("source").agg(F.count(F.lit(1)).alias("size"))
-    total = sizes.agg(F.sum(F.sqrt("size")).alias("roots"))
-    return sizes.crossJoin(total).select("source", (F.sqrt("size") / F.col("roots")).alias("weight"))
+    roots = sizes.agg(F.sum(F.sqrt("size"))).first()[0] or 1.0
+    return sizes.select("source", (F.sqrt("size") / F.lit(roots)).alias("weight"))
 
 
 def _uniform(seed: str, doc_id: Column, part: Column) -> Column:
@@ -32,12 +34,11 @@ def _uniform(seed: str, doc_id: Column, part: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
-def rates(docs: DataFrame, weights: DataFrame) -> DataFrame:
-    """(source_key, rate, parts, cdf): the distribution function of each source's draws, until it is 1 in doubles."""
-    sizes = docs.groupBy("source").agg(F.count(F.lit(1)).alias("size"))
-    total = sizes.agg(F.sum("size").alias("total"))
+def rates(sizes: DataFrame, weights: DataFrame) -> DataFrame:
+    """(r_source, rate, parts, cdf): the distribution function of each source's draws, until it is 1 in doubles."""
+    total = sizes.agg(F.sum("size")).first()[0] or 0
     w = weights.select(F.col("source").alias("w_source"), "weight")
-    rate = sizes.join(w, F.expr("source <=> w_source"), "left").crossJoin(total).select("source", F.round(F.col("total") * F.coalesce("weight", F.lit(0.0)) / F.col("size"), 9).alias("rate"))
+    rate = sizes.join(w, F.expr("source <=> w_source"), "left").select("source", F.round(total * F.coalesce("weight", F.lit(0.0)) / F.col("size"), 9).alias("rate"))
     rate = rate.withColumn("parts", F.greatest(F.ceil(F.col("rate") / PART), F.lit(1)).cast("int")).withColumn("part_rate", F.col("rate") / F.col("parts"))
     first = F.exp(-F.col("part_rate"))
     steps = F.sequence(F.lit(1), F.ceil(F.col("part_rate") + 12 * F.sqrt("part_rate") + 30).cast("int"))
@@ -50,19 +51,27 @@ def rates(docs: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def poisson_mix(docs: DataFrame, weights: DataFrame | None = None, seed: str = SEED) -> DataFrame:
-    """Rows of ``docs`` repeated by their draws, with ``copy`` (from 1) and ``shuffle_key``, shuffled globally."""
-    weights = square_root_weights(docs) if weights is None else weights
-    table = rates(docs, weights)
-    if docs.select("source").distinct().count() <= BROADCAST_SOURCES:
-        drawn = docs.join(F.broadcast(table), F.expr("source <=> r_source"))
+    """Rows of ``docs`` repeated by their draws, with ``copy`` (from 1) and ``shuffle_key``, shuffled globally. ``weights`` has source and weight."""
+    scratch = Scratch(docs.sparkSession)
+    sizes = scratch.save(docs.groupBy("source").agg(F.count(F.lit(1)).alias("size")))
+    # Written, as it is joined with texts: the plan then knows its size.
+    table = scratch.save(rates(sizes, square_root_weights(sizes) if weights is None else weights))
+    inner = {c: fresh(f"mix_{c}", docs) for c in ("source", "parts", "cdf", "salt", "uniform", "copies")}
+    copy, shuffle_key = fresh("copy", docs), fresh("shuffle_key", docs)
+    dealt = table.select(*(F.col(a).alias(inner[b]) for a, b in (("r_source", "source"), ("parts", "parts"), ("cdf", "cdf"))))
+    same = F.col("source").eqNullSafe(F.col(inner["source"]))
+    if sizes.count() <= BROADCAST_SOURCES:
+        drawn = docs.join(F.broadcast(dealt), same)
     else:  # a source's documents are dealt to SALTS partitions
-        salted = table.withColumn("r_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        drawn = docs.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, F.expr("source <=> r_source and _salt = r_salt"))
-    one = lambda part: F.size(F.filter("cdf", lambda c: c <= _uniform(seed, F.col("doc_id"), part)))
-    copies = F.aggregate(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), one), F.lit(0), lambda a, b: a + b)
-    out = drawn.withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    out = out.withColumn("shuffle_key", F.md5(F.concat(F.lit(f"{seed}#"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("#"), F.col("copy").cast("string"))))
-    return out.select(*docs.columns, "copy", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+        salted = dealt.withColumn("r_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = salted.withColumnRenamed("r_salt", fresh("r_salt", docs))
+        drawn = docs.withColumn(inner["salt"], F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, same & (F.col(inner["salt"]) == F.col(salted.columns[-1])))
+    uniform = F.transform(F.sequence(F.lit(0), F.col(inner["parts"]) - 1), lambda part: _uniform(seed, F.col("doc_id"), part))
+    drawn = drawn.withColumn(inner["uniform"], uniform)  # a hash for each part, not for each entry of the function
+    copies = F.aggregate(F.transform(inner["uniform"], lambda u: F.size(F.filter(inner["cdf"], lambda c: c <= u))), F.lit(0), lambda a, b: a + b)
+    out = drawn.withColumn(inner["copies"], copies).where(F.col(inner["copies"]) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(inner["copies"]))))
+    out = out.withColumn(shuffle_key, F.md5(F.concat(F.lit(f"{seed}#"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("#"), F.col(copy).cast("string"))))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns), copy, shuffle_key).repartition(shuffle_key).sortWithinPartitions(shuffle_key)
 
 
 ORACLE = f"""

@@ -6,19 +6,21 @@ joint bins explain the residual best get two-dimensional tables in the same way.
 
 The model is fitted on a bounded sample of labelled rows: about ``SAMPLE`` of them, chosen by the hash of their id. Every document is scored.
 Null and empty texts have all features 0 and are scored too. Without labels of both classes the score is the share of ones
-(0.5 without any). Only the text enters a score. Repeated rows are scored alike; other columns are kept.
+(0.5 without any). Only the text enters a score. Repeated rows are scored alike; other columns are kept, whatever their names.
+Very long texts are read whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
+from .scratch import add_columns, share
 from .wordhash import Words
 
 SAMPLE = 20_000
@@ -73,24 +75,25 @@ def _row(b: np.ndarray, counts: np.ndarray, words: np.ndarray, lengths: np.ndarr
 
 
 def features(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """(kept columns, features array) of every whole text."""
+    """(kept columns, features array) of every whole text; the array's name gets underscores in front if a kept column has it."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         words, counts = Words(), _byte_classes()
-        for batch in batches:
-            out = np.zeros((batch.num_rows, len(FEATURES)))
-            strings = batch.column(0).cast(pa.large_string()).fill_null("")
+
+        def work(column: pa.Array) -> list[pa.Array]:
+            out = np.zeros((len(column), len(FEATURES)))
+            strings = column.cast(pa.large_string()).fill_null("")
             offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
             for first, bounds, hashes, b, starts, ends in words.chunks(strings, with_bytes=True):
                 for i in range(len(bounds) - 1):
                     low, high = offsets[first + i] - offsets[first], offsets[first + i + 1] - offsets[first]
                     own = slice(bounds[i], bounds[i + 1])
                     out[first + i] = _row(b[low:high], counts, hashes[own], ends[own] - starts[own])
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(FEATURES)), pa.array(out.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], lists], names=[*keep, "features"])
+            return [pa.ListArray.from_arrays(pa.array(np.arange(len(column) + 1, dtype=np.int32) * len(FEATURES)), pa.array(out.ravel()))]
+
+        return work
 
-    fields = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "features array<double>"])
-    return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(run, fields)
+    return add_columns(docs, [F.col("text")], keep, {"features": ArrayType(DoubleType())}, start, 2048)
 
 
 @dataclass
@@ -213,18 +216,22 @@ def train_on(docs: DataFrame, labels: DataFrame) -> Gam:
 
 def classify(docs: DataFrame, model: Gam) -> DataFrame:
     """``docs`` with score and predicted, in one pass over the texts."""
-    return score(features(docs, [c for c in docs.columns if c not in ("features", "score", "predicted")]), model)
+    featured = features(docs, docs.columns)
+    return score(featured, model, featured.columns[-1])
+
+
+def score(featured: DataFrame, model: Gam, features_col: str = "features") -> DataFrame:
+    """``featured`` with score and predicted in place of its features. Names that it has already get underscores in front."""
+    shared = share(featured.sparkSession, model)
 
+    def start():
+        model = shared()
 
-def score(featured: DataFrame, model: Gam) -> DataFrame:
-    """``featured`` with score and predicted in place of features."""
-    keep = [c for c in featured.columns if c != "features"]
-    shared = featured.sparkSession.sparkContext.broadcast(model)
+        def work(column: pa.Array) -> list[pa.Array]:
+            p = model.score(np.asarray(column.flatten()).reshape(-1, len(FEATURES)))
+            return [pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = shared.value.score(np.asarray(batch.column(0).flatten()).reshape(-1, len(FEATURES)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))], names=[*keep, "score", "predicted"])
+        return work
 
-    fields = ", ".join([*(f"`{c}` {featured.schema[c].dataType.simpleString()}" for c in keep), "score double, predicted int"])
-    return featured.select("features", *keep).mapInArrow(run, fields)
+    keep = [c for c in featured.columns if c != features_col]
+    return add_columns(featured, [F.col(f"`{features_col}`")], keep, {"score": DoubleType(), "predicted": IntegerType()}, start, 10_000)

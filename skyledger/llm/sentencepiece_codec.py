@@ -2,12 +2,13 @@
 
 Spaces become the marker U+2581 and one marker is put before the text. No piece has a marker after another character,
 so the best segmentation of a text is that of its runs of markers with the word after them, each solved once and remembered.
-The vocabulary's file has merge ranks in place of scores, so pieces get log probabilities by ``ROUNDS`` rounds of expectation maximisation
-over the counted runs of all documents, from equal ones; ``SMOOTHING`` uses are added to each piece.
+The vocabulary's file has merge ranks in place of scores, so pieces get log probabilities by expectation maximisation over the counted
+runs of all documents, from equal ones (``language_id.learned`` with one class).
 A character without a piece costs the least score less 10 and is spelt in byte pieces. Decoding joins pieces and bytes,
 turns markers into spaces and drops the first space; it restores every text that has no marker of its own.
 
-Null texts give null ids and decode to null; empty texts give no ids. Other columns are kept.
+Null texts give null ids and decode to null; empty texts give no ids; repeated rows are encoded alike; very long texts are read whole; an empty
+table gives no rows. Of equal segmentations the one found from the earliest start wins. Other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,28 +17,28 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import replace
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType
 
-from .language_id import batches_of, expected_counts
+from .language_id import learned
 from .piece_trie import SPACE, VOCABULARY, PieceTrie, build_trie, char_bytes, matches, padded
-from .scratch import Scratch
+from .scratch import Scratch, add_columns, share
 
 CACHE = 400_000  # remembered runs of each worker; it starts anew beyond
 LONG_RUN = 256  # bytes; longer runs are solved one at a time
 SLAB = 1 << 20
-ROUNDS = 3
-SMOOTHING = 0.05
 RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
 def runs_of(text: str) -> list[str]:
-    """Runs of markers, at least one, with the word after them."""
-    return RUNS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    """Runs of markers, at least one, with the word after them; without their first marker."""
+    if "  " in text or SPACE in text or text[:1] == " " or text[-1:] == " ":
+        return [r[1:] for r in RUNS.findall(SPACE + text.replace(" ", SPACE))]
+    return text.split(" ") if text else []
 
 
 def learned_scores(docs: DataFrame, text_col: str, trie: PieceTrie) -> np.ndarray:
@@ -57,33 +58,12 @@ def learned_scores(docs: DataFrame, text_col: str, trie: PieceTrie) -> np.ndarra
                     seen.clear()
         yield rows()
 
-    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    counted = scratch.save(docs.select(text_col).mapInArrow(count, "run string, n long").groupBy("run").agg(F.sum("n").alias("n")))
-    shared = spark.sparkContext.broadcast(trie)
-    usable = np.zeros(len(trie.pieces), bool)
-    usable[trie.piece[trie.piece >= 0]] = True
-    log_p = np.where(usable, -np.log(usable.sum()), -np.inf)
-    for _ in range(ROUNDS):
-        now = spark.sparkContext.broadcast(log_p[:, None])
-
-        def expect(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            used = np.zeros(len(now.value))
-            for batch in batches:
-                uses = dict(zip((r[1:] for r in batch.column(0).to_pylist()), batch.column(1).to_pylist(), strict=True))
-                for words in batches_of(list(uses)):  # a run's first marker is put before it again
-                    used += expected_counts(shared.value, now.value, words, np.array([[float(uses[w])] for w in words]))[:, 0]
-            ids = np.flatnonzero(used)
-            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array(used[ids])], names=["piece", "used"])
-
-        used = np.where(usable, SMOOTHING, 0.0)
-        for r in counted.mapInArrow(expect, "piece int, used double").groupBy("piece").agg(F.sum("used").alias("used")).collect():
-            used[r.piece] += r.used
-        with np.errstate(divide="ignore"):
-            log_p = np.log(used / used.sum())
-        now.unpersist()
+    scratch = Scratch(docs.sparkSession)
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "run string, n long").groupBy("run").agg(F.sum("n").alias("n"))
+    counted = scratch.save(counted.select("run", F.lit(0).alias("class"), "n"))
+    log_p = learned(counted, trie, 1)[:, 0]
     scratch.drop(counted)
-    # Sums differ in their last digits with the order of tasks; rounded, ties stay ties.
-    return np.round(np.where(usable, log_p, log_p[usable].min()), 6)
+    return np.where(np.isfinite(log_p), log_p, log_p[np.isfinite(log_p)].min())
 
 
 def viterbi(trie: PieceTrie, runs: list[bytes]) -> list[tuple[int, ...]]:
@@ -132,29 +112,32 @@ def viterbi(trie: PieceTrie, runs: list[bytes]) -> list[tuple[int, ...]]:
 
 
 class Encoder:
+    """Ids of texts. Those of each run are solved once and remembered as bytes of 32-bit numbers."""
+
     def __init__(self, trie: PieceTrie):
         self.trie, self.known = trie, {}
 
     def learn(self, runs: set[str]) -> None:
-        new = sorted((r for r in runs if r not in self.known), key=len)
+        new = sorted(runs - self.known.keys(), key=len)
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
             new = sorted(runs, key=len)
         at = 0
         while at < len(new):
-            width = 4 * len(new[min(at + 20_000, len(new)) - 1])
-            count = 1 if 4 * len(new[at]) > LONG_RUN else max(1, min(20_000, SLAB // max(width, 1)))
+            width = 4 * len(new[min(at + 20_000, len(new)) - 1]) + 4
+            count = 1 if 4 * len(new[at]) > LONG_RUN else max(1, min(20_000, SLAB // width))
             part = new[at : at + count]
-            self.known.update(zip(part, viterbi(self.trie, [r.encode() for r in part]), strict=True))
+            ids = viterbi(self.trie, [(SPACE + r).encode() for r in part])
+            self.known.update(zip(part, (np.array(x, np.int32).tobytes() for x in ids), strict=True))
             at += count
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         runs = [None if t is None else runs_of(t) for t in texts]
-        distinct = set(chain.from_iterable(r for r in runs if r))
+        distinct = set().union(*(r for r in runs if r))
         if not distinct <= self.known.keys():
             self.learn(distinct)
-        known = self.known
-        return [None if r is None else np.fromiter(chain.from_iterable([known[x] for x in r]), np.int32) for r in runs]
+        known = self.known.__getitem__
+        return [None if r is None else np.frombuffer(b"".join(map(known, r)), np.int32) for r in runs]
 
 
 class Decoder:
@@ -170,46 +153,42 @@ class Decoder:
 
 
 def encode(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, restore: bool = False) -> DataFrame:
-    """``docs`` without the text, with ids; with ``restore`` also whether decoding them gives the text again."""
+    """``docs`` without the text, with ids and n_ids; with ``restore`` also whether decoding the ids gives the text again.
+
+    A column of the table that has one of these names is kept; the result's name is then ``piece_ids`` and so on, with underscores if that exists too.
+    """
     ranked = build_trie(vocabulary)
-    trie = docs.sparkSession.sparkContext.broadcast(replace(ranked, scores=learned_scores(docs, text_col, ranked)))
+    shared = share(docs.sparkSession, replace(ranked, scores=learned_scores(docs, text_col, ranked)))
     kept = [c for c in docs.columns if c != text_col]
-    extra = "_ids array<int>, _n int" + (", _restored boolean" if restore else "")
-    names = {"_ids": "ids", "_n": "n_ids", "_restored": "restored"}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(trie.value), Decoder(trie.value)
-        for batch in batches:
-            step = 256
-            for low in range(0, batch.num_rows, step):
-                part = batch.slice(low, step)
-                texts = part.column(0).to_pylist()
-                ids = encoder.encode(texts)
-                flat = [x for x in ids if x is not None]
-                sizes = np.array([0 if x is None else len(x) for x in ids])
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                null = pa.array([x is None for x in ids])
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32)), mask=null)
-                columns = [*part.columns[1:], lists, pa.array([None if x is None else len(x) for x in ids], pa.int32())]
-                if restore:
-                    columns.append(pa.array([None if x is None else decoder.decode(x) == t.replace(SPACE, " ") for x, t in zip(ids, texts, strict=True)], pa.bool_()))
-                yield pa.RecordBatch.from_arrays(columns, names=[*kept, "_ids", "_n", *(["_restored"] if restore else [])])
-
-    fields = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), extra])
-    out = docs.select(text_col, *kept).mapInArrow(run, fields)
-    return out.withColumnsRenamed({k: (v if v not in kept else f"piece_{v}") for k, v in names.items() if k in out.columns})
+    def start():
+        trie = shared()
+        encoder, decoder = Encoder(trie), Decoder(trie)
+
+        def work(column: pa.Array) -> list[pa.Array]:
+            texts = column.to_pylist()
+            ids = encoder.encode(texts)
+            flat = [x for x in ids if x is not None]
+            offsets = np.concatenate([[0], np.cumsum([0 if x is None else len(x) for x in ids])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32)), mask=pa.array([x is None for x in ids]))
+            out = [lists, pa.array([None if x is None else len(x) for x in ids], pa.int32())]
+            if restore:
+                out.append(pa.array([None if x is None else decoder.decode(x) == t.replace(SPACE, " ") for x, t in zip(ids, texts, strict=True)], pa.bool_()))
+            return out
+
+        return work
+
+    added = {"ids": ArrayType(IntegerType()), "n_ids": IntegerType()} | ({"restored": BooleanType()} if restore else {})
+    taken = {c.lower() for c in kept}
+    return add_columns(docs, [F.col(f"`{text_col}`")], kept, {(c if c not in taken else f"piece_{c}"): kind for c, kind in added.items()}, start)
 
 
 def decode(tokens: DataFrame, ids_col: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:
-    """``tokens`` with the column ``text`` in place of ids."""
-    trie = tokens.sparkSession.sparkContext.broadcast(build_trie(vocabulary))
-    kept = [c for c in tokens.columns if c not in (ids_col, "text")]
+    """``tokens`` with the column ``text`` in place of ids; an own column ``text`` is kept, and the result is then ``_text``."""
+    shared = share(tokens.sparkSession, build_trie(vocabulary))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(trie.value)
-        for batch in batches:
-            texts = [None if x is None else decoder.decode(np.array(x, np.int32)) for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], names=[*kept, "text"])
+    def start():
+        decoder = Decoder(shared())
+        return lambda column: [pa.array([None if not x.is_valid else decoder.decode(np.asarray(x.values, np.int32)) for x in column], pa.string())]
 
-    fields = ", ".join([*(f"`{c}` {tokens.schema[c].dataType.simpleString()}" for c in kept), "text string"])
-    return tokens.select(F.col(ids_col), *kept).mapInArrow(run, fields)
+    return add_columns(tokens, [F.col(f"`{ids_col}`")], [c for c in tokens.columns if c != ids_col], {"text": StringType()}, start)
