@@ -118,8 +118,8 @@ def test_query_equals_sql(spark, name):
 
 def test_html_blocks():
     page = '<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body><nav><a href="/x">menu</a></nav><header>top</header><div class="ad box">buy</div><article><header><h1>Head &amp; line</h1></header><p><b>bold  text<br>more<p>next &eacute;<!-- no --></p><aside>side</aside><div id="comments"><p>hi</p></div><form>f</form><ul><li>one<li>two</ul></article><footer>foot</footer></body></html>'
-    assert [t for t, _ in html_extract.blocks_of(page)] == ["Head & line", "bold text more", "next é", "one", "two"]
-    assert html_extract.blocks_of(None) == html_extract.blocks_of("") == [] and html_extract.blocks_of("<p>a<") != []
+    assert html_extract.Page(page).main_blocks() == ["Head & line", "bold text more", "next é", "one", "two"]
+    assert html_extract.Page(None).main_blocks() == html_extract.Page("").main_blocks() == [] and html_extract.Page("<p>a<").main_blocks() == ["a<"]
 
 
 def test_html_template_of_a_host_goes(spark):
@@ -206,8 +206,8 @@ def test_language_edges(spark):
     langs = [None] * len(EDGES) + ["en", "fr", None]
     df = docs(spark, texts, langs)
     got = {r.doc_id: r for r in language_id.identify(df, df.where("lang is not null")).collect()}
-    assert got[0].lang_pred == got[1].lang_pred == got[len(texts) - 1].lang_pred == "und" and got[0].score == 0.0
-    assert got[len(EDGES)].lang_pred == "en" and got[len(EDGES) + 1].lang_pred == "fr" and all(0 <= r.score <= 1 for r in got.values())
+    assert got[0].lang_pred == got[1].lang_pred == got[len(texts) - 1].lang_pred == "und" and got[0]._score == 0.0
+    assert got[len(EDGES)].lang_pred == "en" and got[len(EDGES) + 1].lang_pred == "fr" and all(0 <= r._score <= 1 and r.score == 1.0 for r in got.values())
     assert {r.lang_pred for r in language_id.identify(df, df.limit(0)).collect()} == {"und"}
     assert language_id.identify(df.limit(0), df.where("lang is not null")).isEmpty()
 
@@ -226,9 +226,9 @@ def test_quality_edges(spark):
     df = docs(spark, EDGES)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = quality_gam.classify(df, quality_gam.train_on(df, none)).collect()
-    assert len(got) == len(EDGES) and {r.score for r in got} == {0.5}
+    assert len(got) == len(EDGES) and {(r.score, r._score) for r in got} == {(1.0, 0.5)}
     marks = spark.createDataFrame([(i, i % 2, 0) for i in range(len(EDGES))] + [(None, 1, 0), (3, None, 0)], none.schema)
-    assert all(0 <= r.score <= 1 for r in quality_gam.classify(df, quality_gam.train_on(df, marks)).collect())
+    assert all(0 <= r._score <= 1 for r in quality_gam.classify(df, quality_gam.train_on(df, marks)).collect())
 
 
 def test_gam_learns_an_interaction():
