@@ -32,7 +32,7 @@ SMOOTHING = 0.05
 OTHER_CHARACTER = -16.0  # log probability, in every language
 LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST_WORD = 200  # characters; a longer run of letters is scored as consecutive words of this length
-CACHE = 400_000
+CACHE = 200_000
 SLAB = 1 << 19
 
 
@@ -145,10 +145,10 @@ def learned(counted: DataFrame, trie: PieceTrie, classes: int) -> np.ndarray:
 
 
 def _sampled(labelled: DataFrame, sizes: DataFrame) -> DataFrame:
-    """At most about SAMPLE_PER_LANGUAGE documents of each language by the hash of their id."""
+    """At most about SAMPLE_PER_LANGUAGE documents of each language by the hash of their id. ``sizes`` has a row for each language of the model."""
     share_of = sizes.select(F.col("lang").alias("s_lang"), F.least(F.lit(1.0), SAMPLE_PER_LANGUAGE / F.col("n")).alias("share"))
     lot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.join(share_of, F.col("lang") == F.col("s_lang")).where(lot < F.col("share"))
+    return labelled.join(F.broadcast(share_of), F.col("lang") == F.col("s_lang")).where(lot < F.col("share"))
 
 
 def train(labelled: DataFrame, trie: PieceTrie) -> LanguageModel | None:

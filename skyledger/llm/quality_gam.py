@@ -74,26 +74,32 @@ def _row(b: np.ndarray, counts: np.ndarray, words: np.ndarray, lengths: np.ndarr
     ]
 
 
+def _extractor():
+    """A function from a string array to a matrix of features of whole texts."""
+    words, counts = Words(), _byte_classes()
+
+    def extract(column: pa.Array) -> np.ndarray:
+        out = np.zeros((len(column), len(FEATURES)))
+        strings = column.cast(pa.large_string()).fill_null("")
+        offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
+        for first, bounds, hashes, b, starts, ends in words.chunks(strings, with_bytes=True):
+            for i in range(len(bounds) - 1):
+                low, high = offsets[first + i] - offsets[first], offsets[first + i + 1] - offsets[first]
+                own = slice(bounds[i], bounds[i + 1])
+                out[first + i] = _row(b[low:high], counts, hashes[own], ends[own] - starts[own])
+        return out
+
+    return extract
+
+
 def features(docs: DataFrame, keep: list[str]) -> DataFrame:
     """(kept columns, features array) of every whole text; the array's name gets underscores in front if a kept column has it."""
 
     def start():
-        words, counts = Words(), _byte_classes()
+        extract = _extractor()
+        return lambda column: [pa.ListArray.from_arrays(pa.array(np.arange(len(column) + 1, dtype=np.int32) * len(FEATURES)), pa.array(extract(column).ravel()))]
 
-        def work(column: pa.Array) -> list[pa.Array]:
-            out = np.zeros((len(column), len(FEATURES)))
-            strings = column.cast(pa.large_string()).fill_null("")
-            offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
-            for first, bounds, hashes, b, starts, ends in words.chunks(strings, with_bytes=True):
-                for i in range(len(bounds) - 1):
-                    low, high = offsets[first + i] - offsets[first], offsets[first + i + 1] - offsets[first]
-                    own = slice(bounds[i], bounds[i + 1])
-                    out[first + i] = _row(b[low:high], counts, hashes[own], ends[own] - starts[own])
-            return [pa.ListArray.from_arrays(pa.array(np.arange(len(column) + 1, dtype=np.int32) * len(FEATURES)), pa.array(out.ravel()))]
-
-        return work
-
-    return add_columns(docs, [F.col("text")], keep, {"features": ArrayType(DoubleType())}, start, 2048)
+    return add_columns(docs, [F.col("text")], keep, {"features": ArrayType(DoubleType())}, start)
 
 
 @dataclass
@@ -214,10 +220,23 @@ def train_on(docs: DataFrame, labels: DataFrame) -> Gam:
     return _fit_rows(features(docs.select("doc_id", "text").join(F.broadcast(_marked(labels)), F.col("doc_id") == F.col("l_id")), ["doc_id", "quality"]))
 
 
+def _scores(x: np.ndarray, model: Gam) -> list[pa.Array]:
+    p = model.score(x)
+    return [pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))]
+
+
+RESULTS = {"score": DoubleType(), "predicted": IntegerType()}
+
+
 def classify(docs: DataFrame, model: Gam) -> DataFrame:
-    """``docs`` with score and predicted, in one pass over the texts."""
-    featured = features(docs, docs.columns)
-    return score(featured, model, featured.columns[-1])
+    """``docs`` with score and predicted, in one pass over the texts. Names that it has already get underscores in front."""
+    shared = share(docs.sparkSession, model)
+
+    def start():
+        extract, model = _extractor(), shared()
+        return lambda column: _scores(extract(column), model)
+
+    return add_columns(docs, [F.col("text")], docs.columns, RESULTS, start)
 
 
 def score(featured: DataFrame, model: Gam, features_col: str = "features") -> DataFrame:
@@ -226,12 +245,6 @@ def score(featured: DataFrame, model: Gam, features_col: str = "features") -> Da
 
     def start():
         model = shared()
+        return lambda column: _scores(np.asarray(column.flatten()).reshape(-1, len(FEATURES)), model)
 
-        def work(column: pa.Array) -> list[pa.Array]:
-            p = model.score(np.asarray(column.flatten()).reshape(-1, len(FEATURES)))
-            return [pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))]
-
-        return work
-
-    keep = [c for c in featured.columns if c != features_col]
-    return add_columns(featured, [F.col(f"`{features_col}`")], keep, {"score": DoubleType(), "predicted": IntegerType()}, start, 10_000)
+    return add_columns(featured, [F.col(f"`{features_col}`")], [c for c in featured.columns if c != features_col], RESULTS, start, 10_000)

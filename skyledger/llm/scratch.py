@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import uuid
 from collections.abc import Callable, Iterator
@@ -103,6 +104,14 @@ class Scratch:
                 self.tables[name] = False
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: workers stay for later tasks, beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def add_columns(docs: DataFrame, inputs: list[Column], keep: list[str], added: dict[str, DataType], start: Callable[[], Callable[..., list[pa.Array]]], step: int = 256) -> DataFrame:
     """The columns ``keep`` of ``docs`` with ``added`` ones, which ``start()(*arrays of the inputs)`` gives for ``step`` rows at a time on executors.
 
@@ -118,6 +127,8 @@ def add_columns(docs: DataFrame, inputs: list[Column], keep: list[str], added: d
             for low in range(0, batch.num_rows, step):
                 part = batch.slice(low, step)
                 yield pa.RecordBatch.from_arrays([*part.columns[n:], *work(*part.columns[:n])], names=schema.names)
+        del work
+        give_back()
 
     chosen = [c.alias(f"i{i}") for i, c in enumerate(inputs)] + [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]
     return docs.select(*chosen).mapInArrow(run, schema).toDF(*keep, *(fresh(c, keep) for c in added))

@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import replace
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from .language_id import learned
 from .piece_trie import SPACE, VOCABULARY, PieceTrie, build_trie, char_bytes, matches, padded
 from .scratch import Scratch, add_columns, share
 
-CACHE = 400_000  # remembered runs of each worker; it starts anew beyond
+CACHE = 300_000  # remembered runs of each worker; it starts anew beyond
 LONG_RUN = 256  # bytes; longer runs are solved one at a time
 SLAB = 1 << 20
 RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -66,10 +67,10 @@ def learned_scores(docs: DataFrame, text_col: str, trie: PieceTrie) -> np.ndarra
     return np.where(np.isfinite(log_p), log_p, log_p[np.isfinite(log_p)].min())
 
 
-def viterbi(trie: PieceTrie, runs: list[bytes]) -> list[tuple[int, ...]]:
-    """Ids of the best segmentation of each run; of equal ones, the one found from the earliest start."""
+def viterbi(trie: PieceTrie, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the best segmentation of each run, one after the other, and the bounds of each; of equal ones, the one found from the earliest start."""
     if not runs:
-        return []
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
     m, lengths = padded(runs)
     n, width = m.shape
     best = np.full((n, width), -np.inf)
@@ -95,20 +96,24 @@ def viterbi(trie: PieceTrie, runs: list[bytes]) -> list[tuple[int, ...]]:
         r = rows[~single[rows]]
         if len(r):
             offer(r, s + size[r], best[r, s] + missing, -1)
-    out = []
-    for i, run in enumerate(runs):
-        ids: list[int] = []
-        end = len(run)
-        while end:
-            start = back[i, end]
-            if via[i, end] >= 0:
-                ids.append(int(via[i, end]))
-            else:
-                spelt = trie.byte_ids[np.frombuffer(run[start:end], np.uint8)]
-                ids.extend(int(x) for x in (spelt[::-1] if (spelt >= 0).all() else [trie.unknown]))
-            end = start
-        out.append(tuple(ids[::-1]))
-    return out
+    # From the ends back, for all runs at once; a character without a piece gives its bytes' pieces, or the unknown one.
+    spelt = (trie.byte_ids >= 0).all()
+    steps, row, end = [], np.arange(n), lengths.astype(np.int64)
+    while len(row):
+        start, ids = back[row, end].astype(np.int64), via[row, end]
+        known = ids >= 0
+        steps.append((row[known], ids[known]))
+        lost = np.flatnonzero(~known)
+        if not spelt:
+            steps.append((row[lost], np.full(len(lost), trie.unknown, np.int32)))
+        else:
+            for back_by in range(1, 5):
+                here = lost[end[lost] - start[lost] >= back_by]
+                steps.append((row[here], trie.byte_ids[m[row[here], end[here] - back_by]].astype(np.int32)))
+        row, end = row[start > 0], start[start > 0]
+    rows, ids = np.concatenate([x[0] for x in steps])[::-1], np.concatenate([x[1] for x in steps])[::-1]
+    order = np.argsort(rows, kind="stable")
+    return ids[order], np.searchsorted(rows[order], np.arange(n + 1))
 
 
 class Encoder:
@@ -127,8 +132,9 @@ class Encoder:
             width = 4 * len(new[min(at + 20_000, len(new)) - 1]) + 4
             count = 1 if 4 * len(new[at]) > LONG_RUN else max(1, min(20_000, SLAB // width))
             part = new[at : at + count]
-            ids = viterbi(self.trie, [(SPACE + r).encode() for r in part])
-            self.known.update(zip(part, (np.array(x, np.int32).tobytes() for x in ids), strict=True))
+            ids, cuts = viterbi(self.trie, [(SPACE + r).encode() for r in part])
+            flat, at_byte = ids.tobytes(), (4 * cuts).tolist()
+            self.known.update(zip(part, (flat[a:z] for a, z in pairwise(at_byte)), strict=True))
             at += count
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
@@ -180,7 +186,7 @@ def encode(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY
 
     added = {"ids": ArrayType(IntegerType()), "n_ids": IntegerType()} | ({"restored": BooleanType()} if restore else {})
     taken = {c.lower() for c in kept}
-    return add_columns(docs, [F.col(f"`{text_col}`")], kept, {(c if c not in taken else f"piece_{c}"): kind for c, kind in added.items()}, start)
+    return add_columns(docs, [F.col(f"`{text_col}`")], kept, {(c if c not in taken else f"piece_{c}"): kind for c, kind in added.items()}, start, 1024)
 
 
 def decode(tokens: DataFrame, ids_col: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:
