@@ -1,22 +1,23 @@
 """Exact Jaccard self-join of documents' word n-gram sets by vertical partitioning.
 
-The global n-gram order is the order of 64-bit n-gram hashes. It is cut into K fragments, where K
-grows with the size class of a set, and each set falls into K segments.
-
-1. Equal sets collapse to one representative (the smallest id).
-2. Two sets over the threshold differ in at most D n-grams, so of K = D + 2 fragments at least two hold
-   equal segments: (class, fragment, segment digest) finds every candidate.
-3. Each candidate pair's overlap is counted fragment by fragment, and the partial counts are summed per pair.
-
-A group of near copies isn't expanded into all its pairs. In each of ``STAR_ROUNDS`` rounds, every block of sets
-with an equal segment is compared with one leader, and only across components found so far. A last round
-compares all the rest that are still in different components, so no link between components is missed.
-Pairs are dropped before counting only by sound bounds: sizes, and the parities of hash cells, whose differing
-number is at most that of differing n-grams. All sets have 512 cells; larger ones also have a power of two that grows
-with the set, and of two sets the one with more is folded. N-grams are sent only for pairs that both bounds leave.
-
-Results: texts without words, empty and null texts have an empty set, are linked with nothing and
-are their own component. Repeated ids count as one document each row. Other columns are not read.
+1. Equal sets collapse to one, known by a number.
+2. The global n-gram order begins with the order of 64-bit hashes. A set's lower part is as long as it takes for two linked sets to share
+   ``common`` n-grams there. Lower parts are ordered anew, by the number of sets that hold an n-gram there (counted over all documents), rarest first.
+   Of that order each set posts the prefix that two linked sets must share a member of; n-grams of one set alone come first and are posted by none.
+   A set with too few n-grams in common with any other posts nothing. All of this is exact: it follows from sizes alone.
+3. The order of hashes is cut into ``FRAGMENTS`` fragments. Each candidate pair's overlap is counted fragment by fragment, and the partial
+   counts are summed per pair.
+
+A group of near copies isn't expanded into all its pairs. In each of some rounds, every block of sets with a posted n-gram
+is compared with one leader, and only across components found so far; the first leader is the set with the least share of n-grams of its own,
+which is likely the one that the others were made from. When a round links few sets, a last one compares all that are still in different components, so no
+link between components is missed. Pairs are dropped before counting only by sound bounds: sizes, and the parities of 512 hash cells,
+whose differing number is at most that of differing n-grams.
+
+Texts without words, empty and null texts have an empty set, are linked with nothing and are their own component. Each row counts as one document,
+repeated rows and repeated ids too: rows of one id with different texts may lie in different components. A row without an id takes part like others;
+a component's id is its least one, null if it has none. Very long texts are read whole. Ties: none arise in results. An empty table gives no rows.
+Other columns are not read, and may have any name.
 """
 
 from __future__ import annotations
@@ -25,18 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .scratch import Scratch
+from .scratch import Scratch, give_back, share
 from .wordhash import Words, mix, shingle_hashes
 
-STAR_ROUNDS = 2
-VERIFY_FRAGMENTS = 4
+STAR_SHARE = 4  # another round with leaders follows one that links so large a part of the sets: a fourth
+FRAGMENTS = 4
 CELLS = 8  # longs of 64 parity cells each
-CELLS_PER_NGRAM = 0.55  # at least, of large sets: unrelated ones then differ in about a quarter of their n-grams' number
-SIZE_STEP = (3, 2)  # a size class ends where sets are this much larger than where it begins
+BLOOM_BITS = 1 << 27  # 16 MB at most are broadcast
+BLOOM_TASKS = 64
+SLACK = (1, 2)  # how much longer than a plain prefix the lower part of a set is
 
 
 class Threshold:
@@ -47,21 +49,26 @@ class Threshold:
             raise ValueError("threshold must be in (0, 1]")
         self.num, self.den = num, den
 
-    def most_differing(self, total: int) -> int:
-        """Largest symmetric difference of a linked pair with sizes summing to ``total``."""
-        return total * (self.den - self.num) // (self.den + self.num)
+    def overlap(self, n: int) -> int:
+        """Least overlap of a set of n with a linked one, and the least size of that."""
+        return -(-n * self.num // self.den)
 
-    def classes(self, n: int, starts: list[int]) -> list[tuple[int, int]]:
-        """(class, fragments) under which a set of n is indexed: a pair meets in the class of its larger set."""
-        if self.most_differing(n + n * self.den // self.num) == 0:
-            return []  # linked only with equal sets
-        while starts[-1] <= n * self.den // self.num:
-            starts.append(max(starts[-1] + 1, starts[-1] * SIZE_STEP[0] // SIZE_STEP[1]))
-        out = []
-        for c in range(len(starts) - 1):
-            if starts[c + 1] > n and starts[c] * self.num <= n * self.den and (starts[c] <= n or starts[c] * self.num <= n * self.den):
-                out.append((c, self.most_differing(2 * (starts[c + 1] - 1)) + 2))
-        return out
+    def extra(self, n: int) -> int:
+        """N-grams that the lower part is to share with that of a linked set which isn't smaller. It never falls as n grows."""
+        need = self.overlap(n)
+        return max(1, min(need, -(-(n - need + 1) * SLACK[0] // SLACK[1])))
+
+    def lower(self, n: int) -> int:
+        return n - self.overlap(n) + self.extra(n)
+
+    def common(self, n: int) -> int:
+        """N-grams that the lower part shares with that of any linked set."""
+        return self.extra(self.overlap(n))
+
+    def only_equal(self, n: int) -> bool:
+        """Whether a set of n is linked only with equal ones: no other size or set is near enough."""
+        largest = n + n * self.den // self.num
+        return largest * (self.den - self.num) // (self.den + self.num) == 0
 
 
 def _sets(words: Words, texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -71,27 +78,14 @@ def _sets(words: Words, texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarr
             yield first + i, np.unique(shingle_hashes(hashes[bounds[i] : bounds[i + 1]], k))
 
 
-def _segment_keys(tokens: np.ndarray, digest_sums: np.ndarray, c: int, k: int) -> np.ndarray:
-    """Digests of the k segments. At most one empty segment is left out; two equal ones exist in any linked pair."""
-    edges = (np.arange(1, k, dtype=np.uint64) * np.uint64((1 << 64) // k)).astype(np.uint64)
-    at = np.concatenate([[0], np.searchsorted(tokens, edges), [len(tokens)]])
-    sizes = np.diff(at)
-    salt = mix(np.arange(k, dtype=np.uint64) + np.uint64(c << 32))
-    keys = mix((digest_sums[at[1:]] - digest_sums[at[:-1]]) ^ salt) + sizes.astype(np.uint64)
-    return keys[sizes > 0] if (sizes == 0).sum() <= 1 else keys
+def _signature(tokens: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    return mix(tokens).sum(dtype=np.uint64), np.bitwise_xor.reduce(tokens * np.uint64(0x9E3779B97F4A7C15) ^ (tokens >> np.uint64(29)))
 
 
-def _parities(tokens: np.ndarray, cells: int) -> np.ndarray:
-    """Whether each hash cell holds an odd number of n-grams, as 64-bit numbers; XOR of its halves is that of half the cells."""
-    return np.packbits((np.bincount((tokens & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1).astype(np.uint8)).view(np.int64)
-
-
-def _cells(n: int) -> int:
-    """Parity cells of a set of n: none besides the 512 of all sets, or the power of two that holds enough of them."""
+def _parities(tokens: np.ndarray) -> np.ndarray:
+    """Whether each hash cell holds an odd number of n-grams, as 64-bit numbers."""
     cells = 64 * CELLS
-    while cells < CELLS_PER_NGRAM * n:
-        cells *= 2
-    return cells if cells > 64 * CELLS else 0
+    return np.packbits((np.bincount((tokens & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1).astype(np.uint8)).view(np.int64)
 
 
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:
@@ -99,125 +93,159 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)))
 
 
-def _summaries(num: int, den: int, k: int):
+def _summaries(num: int, den: int, k: int, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, limit, starts = Words(), Threshold(num, den), [1]
-        for batch in batches:
-            n_rows = batch.num_rows
-            sizes, sigs = np.zeros(n_rows, np.int64), np.zeros((n_rows, 2), np.uint64)
-            parity = np.zeros((n_rows, CELLS), np.int64)
-            keys: list[np.ndarray] = [np.zeros(0, np.uint64)] * n_rows
-            cells: list[np.ndarray] = [np.zeros(0, np.int64)] * n_rows
+        words, limit = Words(), Threshold(num, den)
+        for batch in (whole.slice(low, 1024) for whole in batches for low in range(0, whole.num_rows, 1024)):
+            rows = batch.num_rows
+            sizes, common, signatures = np.zeros(rows, np.int64), np.zeros(rows, np.int32), np.zeros((rows, 2), np.uint64)
+            parity = np.zeros((rows, CELLS), np.int64)
+            lower = [np.zeros(0, np.uint64)] * rows
             for row, tokens in _sets(words, batch.column(1), k):
                 n = sizes[row] = len(tokens)
                 if not n:
                     continue
-                sums = np.zeros(n + 1, np.uint64)
-                np.cumsum(mix(tokens), out=sums[1:])
-                sigs[row] = sums[n], np.bitwise_xor.reduce(tokens * np.uint64(0x9E3779B97F4A7C15) ^ (tokens >> np.uint64(29)))
-                parity[row] = _parities(tokens, 64 * CELLS)
-                if wide := _cells(int(n)):
-                    cells[row] = _parities(tokens, wide)
-                found = [_segment_keys(tokens, sums, c, f) for c, f in limit.classes(int(n), starts)]
-                if found:
-                    keys[row] = np.concatenate(found)
-            columns = [batch.column(0), pa.array(sizes), *(pa.array(sigs[:, j].copy().view(np.int64)) for j in (0, 1)), *(pa.array(parity[:, j].copy()) for j in range(CELLS)), _lists(cells), _lists(keys)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "sig1", "sig2", *(f"p{j}" for j in range(CELLS)), "cells", "keys"])
+                signatures[row], parity[row] = _signature(tokens), _parities(tokens)
+                if not limit.only_equal(int(n)):
+                    lower[row], common[row] = tokens[: limit.lower(int(n))], limit.common(int(n))
+            columns = [batch.column(0), *batch.columns[2:], pa.array(sizes), *(pa.array(signatures[:, j].copy().view(np.int64)) for j in (0, 1))]
+            columns += [pa.array(common), _lists(lower), *(pa.array(parity[:, j].copy()) for j in range(CELLS))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", *kept, "n", "sig1", "sig2", "common", "lower", *(f"p{j}" for j in range(CELLS))])
+        give_back()
 
     return run
 
 
-def _segments(k: int):
-    """Rows (id, fragment, tokens) for verification, in VERIFY_FRAGMENTS equal ranges of the global order."""
+def _bits(sig1: np.ndarray, sig2: np.ndarray, size: int) -> np.ndarray:
+    """Places of a set in a Bloom filter of so many bits, a power of two."""
+    return np.stack([sig1 & (size - 1), sig2 & (size - 1)])
+
+
+def _bloom(chosen: DataFrame) -> np.ndarray:
+    """A Bloom filter of sets by their signatures, of at most ``BLOOM_BITS``: beyond that it lets more others pass, and loses none."""
+    size = 64
+    while size < BLOOM_BITS and size < 16 * chosen.count():
+        size *= 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        edges = np.arange(1, VERIFY_FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // VERIFY_FRAGMENTS)
+        bits = np.zeros(size, bool)
         for batch in batches:
-            ids = np.asarray(batch.column(0))
-            out_id, out_cut, out = [], [0], []
-            for row, tokens in _sets(words, batch.column(1), k):
-                at = np.concatenate([[0], np.searchsorted(tokens, edges), [len(tokens)]])
-                out_id.append(ids[row])
-                out_cut.extend(out_cut[-1] + at[1:])
-                out.append(tokens)
-            flat = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.array(out_cut, np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(out_id, np.int64), VERIFY_FRAGMENTS)), pa.array(np.tile(np.arange(VERIFY_FRAGMENTS, dtype=np.int32), len(out_id))), lists], names=["id", "fragment", "tokens"])
+            bits[_bits(np.asarray(batch.column(0)), np.asarray(batch.column(1)), size)] = True
+        longs = np.packbits(bits).view(np.int64)
+        at = np.flatnonzero(longs)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(longs[at])], names=["at", "bits"])
 
-    return run
+    found = chosen.select("sig1", "sig2").coalesce(BLOOM_TASKS).mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    longs = np.zeros(size // 64, np.int64)
+    longs[np.asarray(found["at"])] = np.asarray(found["bits"])
+    return np.unpackbits(longs.view(np.uint8)).view(bool)
 
 
-def _wide_gap(a: str, b: str) -> Column:
-    """Differing parities of two sets with cells of their own, after folding the longer; 0 where one has none."""
+def _fragments(k: int, bloom):
+    """(sig1, sig2, n, n-grams of each fragment) of each text whose set may be in the Bloom filter."""
 
-    def folded(x: str, y: str) -> str:
-        half = f"size({x}) div 2"
-        return f"if(size({x}) > size({y}), zip_with(slice({x}, 1, {half}), slice({x}, {half} + 1, {half}), (u, v) -> u ^ v), {x})"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, known = Words(), bloom()
+        edges = np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 512):
+                keys, parts = [], []
+                for _, tokens in _sets(words, batch.column(0).slice(low, 512), k):
+                    if len(tokens) and known[_bits(*(x.view(np.int64) for x in _signature(tokens)), len(known))].all():
+                        at = np.concatenate([[0], np.searchsorted(tokens, edges), [len(tokens)]])
+                        keys.append((*(int(x.view(np.int64)) for x in _signature(tokens)), len(tokens)))
+                        parts.extend(tokens[at[f] : at[f + 1]] for f in range(FRAGMENTS))
+                outer = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * FRAGMENTS)
+                columns = [pa.array([x[j] for x in keys], pa.int64()) for j in range(3)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(outer, _lists(parts))], names=["sig1", "sig2", "n", "parts"])
+        give_back()
 
-    odd = f"aggregate(zip_with({folded(a, b)}, {folded(b, a)}, (u, v) -> bit_count(u ^ v)), 0L, (s, v) -> s + v)"
-    comparable = f"size({a}) > 0 and size({b}) > 0 and size({a}) <= 2 * size({b}) and size({b}) <= 2 * size({a})"
-    return F.expr(f"if({comparable}, {odd}, 0L)")
+    return run
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) per row: components of all pairs with Jaccard similarity >= num / den."""
-    limit, scratch = Threshold(num, den), Scratch(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    parity = [f"p{j}" for j in range(CELLS)]
-    schema = f"id long, n long, sig1 long, sig2 long, {', '.join(f'{p} long' for p in parity)}, cells array<long>, keys array<long>"
-    summary = scratch.save(texts.mapInArrow(_summaries(num, den, words), schema))
+def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(id, n_shingles, component_id, part, kept columns) per row: components of all pairs with Jaccard similarity >= num / den.
+
+    ``part`` is a number of the component, null for rows with an empty set. The columns ``keep`` of ``docs`` are carried along.
+    """
+    scratch, keep = Scratch(docs.sparkSession), keep or []
+    carried = [f"k{i}" for i in range(len(keep))]
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(k) for c, k in zip(keep, carried, strict=True)))
+    parity, signature = [f"p{j}" for j in range(CELLS)], ["sig1", "sig2", "n"]
+    fields = ["id long", *(f"{k} {docs.schema[c].dataType.simpleString()}" for c, k in zip(keep, carried, strict=True)), "n long, sig1 long, sig2 long, common int, lower array<long>", *(f"{p} long" for p in parity)]
+    summary = scratch.save(texts.mapInArrow(_summaries(num, den, words, carried), ", ".join(fields)))
+    rows = scratch.save(summary.select("id", *signature, *carried))
+    equal = summary.where("n > 0").groupBy(*signature).agg(F.min("id").alias("id"), *(F.any_value(c).alias(c) for c in ("common", "lower", *parity)))
+    sets = scratch.save(equal.withColumn("s", F.monotonically_increasing_id()))
+    scratch.drop(summary)
 
-    # Written first, so that the join's sides are both dealt for it alone and a hot group of copies can be split among tasks.
-    reps = scratch.save(summary.where("n > 0").groupBy("sig1", "sig2", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m"))
-    members = scratch.save(summary.select("id", "n", "sig1", "sig2").join(reps, ["sig1", "sig2", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")))
-    only = summary.where("size(keys) > 0").select("id", F.explode("keys").alias("key")).join(members.where("id = rep").select("id"), "id", "left_semi").repartition("key")
-    shared = only.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-    posts = scratch.save(only.join(shared, "key").select("key", "id"))
+    grams = sets.select("s", "common", F.explode("lower").alias("gram"))
+    several = scratch.save(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"))
+    met = grams.join(several, "gram").groupBy("s").agg(F.first("common").alias("common"), F.collect_list(F.struct("sets", "gram")).alias("met")).where("size(met) >= common")
+    prefix = met.select("s", F.size("met").alias("m"), F.expr("slice(sort_array(met), 1, size(met) - common + 1)").alias("prefix"))
+    posted = scratch.save(prefix.select("s", "m", F.explode("prefix.gram").alias("gram")))
+    shared = posted.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
+    posts = scratch.save(posted.join(shared, "gram").select("gram", "s", "m"))
+    scratch.drop(several, posted)
+    labels = _links(sets, posts, texts, Threshold(num, den), words, parity, signature, scratch)
+
+    ids = scratch.save(labels.join(sets.select("s", "id"), "s").groupBy("part").agg(F.min("id").alias("least")))
+    named = sets.select("s", "id", *signature).join(labels.join(ids, "part"), "s", "left")
+    named = scratch.save(named.select(*signature, F.coalesce("part", "s").alias("part"), F.when(F.col("part").isNull(), F.col("id")).otherwise(F.col("least")).alias("least")))
+    scratch.keep(rows, named)
+    out = rows.join(named, signature, "left")
+    return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"), "part", *(F.col(k).alias(c) for c, k in zip(keep, carried, strict=True)))
+
+
+def _links(sets: DataFrame, posts: DataFrame, texts: DataFrame, limit: Threshold, words: int, parity: list[str], signature: list[str], scratch: Scratch) -> DataFrame:
+    """(s, part): the component of each set that shares a posted n-gram, known by its least set."""
+    once = scratch.save(posts.groupBy("s").agg(F.first("m").alias("m")))
+    labels = scratch.save(once.select("s", F.col("s").alias("part")))
     if posts.isEmpty():
-        return members.select("id", F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"))
-    posted = scratch.save(posts.select("id").distinct())
-    digests = scratch.save(summary.select("id", "n", *parity, "cells").join(posted, "id", "left_semi").dropDuplicates(["id"]))
-    scratch.drop(summary)
+        return labels
+    chosen = scratch.save(sets.join(once, "s").select("s", "id", *signature, *parity, (1 - F.col("m") / F.size("lower")).alias("own_share")))
+    digests = chosen.select("s", "n", *parity)
+    # Texts are read again, and none is dealt out whose set can't be among the chosen.
+    bloom = share(sets.sparkSession, _bloom(chosen))
+    read = texts.select("text").mapInArrow(_fragments(words, bloom), "sig1 long, sig2 long, n long, parts array<array<long>>").groupBy(*signature).agg(F.any_value("parts").alias("parts"))
+    segments = scratch.save(read.join(chosen.select("s", *signature), signature).select("s", F.posexplode("parts").alias("fragment", "tokens")))
 
-    labels = posted.withColumn("component", F.col("id"))
     links = tested = None
+    num, den = limit.num, limit.den
     differing = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in parity), F.lit(0))
-    side = lambda c: digests.select(F.col("id").alias(c), F.col("n").alias(f"{c}_n"), *(F.col(p).alias(f"{c}_{p}") for p in parity))
     room = F.expr(f"{den - num} * (a_n + b_n)")
     bounds = (F.abs(F.col("a_n") - F.col("b_n")) * (den + num) <= room) & (differing * (den + num) <= room)
-    wide = lambda c: digests.select(F.col("id").alias(c), F.col("n").alias(f"{c}_n"), F.col("cells").alias(f"{c}_cells"))
-    for turn in range(STAR_ROUNDS + 1):
-        block = posts.join(labels, "id")
-        mixed = block.groupBy("key").agg(F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("a"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        if turn < STAR_ROUNDS:
-            lead = mixed.select("key", "a").join(labels.select(F.col("id").alias("a"), F.col("component").alias("a_component")), "a")
-            pairs = block.join(lead, "key").where("component <> a_component").select("a", F.col("id").alias("b")).distinct()
-            pairs = pairs.join(side("a"), "a").join(side("b"), "b")
+    side = lambda t, c: t.select(F.col("s").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("n", *parity)))
+    turn, stars, posted = 0, True, once.count()
+    while True:
+        block = posts.select("gram", "s").join(labels, "s")
+        rank = F.struct("own_share", "s") if turn == 0 else F.struct(F.xxhash64("s", F.lit(turn)), "s")
+        leaders = (block.join(chosen.select("s", "own_share"), "s") if turn == 0 else block).groupBy("gram").agg(F.min_by("s", rank).alias("a"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+        mixed = leaders.where("lo < hi")
+        if stars:
+            lead = mixed.select("gram", "a").join(labels.select(F.col("s").alias("a"), F.col("part").alias("a_part")), "a")
+            pairs = block.join(lead, "gram").where("part <> a_part").select("a", F.col("s").alias("b")).distinct()
+            pairs = pairs.join(side(digests, "a"), "a").join(side(digests, "b"), "b")
         else:
-            rest = scratch.save(block.join(mixed.select("key"), "key").join(digests, "id"))
-            ends = lambda c: rest.select("key", F.col("id").alias(c), F.col("component").alias(f"{c}_component"), F.col("n").alias(f"{c}_n"), *(F.col(p).alias(f"{c}_{p}") for p in parity))  # noqa: E731, B023
-            pairs = ends("a").join(ends("b"), "key").where("a < b and a_component <> b_component")
+            rest = scratch.save(block.join(mixed.select("gram"), "gram").join(digests, "s"))
+            ends = lambda c: rest.select("gram", F.col("s").alias(c), F.col("part").alias(f"{c}_part"), *(F.col(x).alias(f"{c}_{x}") for x in ("n", *parity)))  # noqa: E731, B023
+            pairs = ends("a").join(ends("b"), "gram").where("a < b and a_part <> b_part")
         pairs = pairs.where(bounds).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), differing.alias("gap"), F.col("b").alias("own")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        if turn < STAR_ROUNDS:  # one leader for each document, the likeliest
+        if stars:  # one leader for each set, the likeliest
             pairs = pairs.groupBy("own").agg(F.min(F.struct("gap", "a", "b")).alias("x")).select("x.a", "x.b")
         pairs = scratch.save(pairs.select("a", "b").distinct())
-        if pairs.isEmpty():
-            if turn < STAR_ROUNDS:
-                continue
-            break
-        near = scratch.save(pairs.join(wide("b"), "b").join(wide("a"), "a").where(room >= (den + num) * _wide_gap("a_cells", "b_cells")).select("a", "b"))
-        ends_of = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        segments = scratch.save(texts.join(ends_of, "id", "left_semi").mapInArrow(_segments(words), "id long, fragment int, tokens array<long>").dropDuplicates(["id", "fragment"]))
-        seg = lambda c: segments.select(F.col("id").alias(c), "fragment", F.col("tokens").alias(f"{c}_tokens"))  # noqa: E731, B023
-        partial = near.join(seg("b"), "b").join(seg("a"), ["a", "fragment"]).select("a", "b", F.size(F.array_intersect("a_tokens", "b_tokens")).alias("part"), F.size("a_tokens").alias("a_n"), F.size("b_tokens").alias("b_n"))
-        counted = partial.groupBy("a", "b").agg(F.sum("part").alias("both"), (F.sum("a_n") + F.sum("b_n")).alias("total"))
+        ends_of = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()
+        needed = segments.join(ends_of, "s", "left_semi")
+        part = lambda c: needed.select(F.col("s").alias(c), "fragment", F.col("tokens").alias(f"{c}_tokens"))  # noqa: E731, B023
+        counted = pairs.join(part("b"), "b").join(part("a"), ["a", "fragment"]).select("a", "b", F.size(F.array_intersect("a_tokens", "b_tokens")).alias("both"), (F.size("a_tokens") + F.size("b_tokens")).alias("total"))
+        counted = counted.groupBy("a", "b").agg(F.sum("both").alias("both"), F.sum("total").alias("total"))
         new = scratch.save(counted.where(f"{den} * both >= {num} * (total - both)").select("a", "b"))
-        scratch.drop(segments, near)
         links = new if links is None else links.unionByName(new)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = scratch.save(posted.join(connected_components(links, scratch), "id", "left").select("id", F.coalesce("component", "id").alias("component")))
-    out = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+        old, labels = labels, scratch.save(once.join(connected_components(links, scratch), F.col("s") == F.col("id"), "left").select("s", F.coalesce("component", "s").alias("part")))
+        scratch.drop(old)
+        if not stars:
+            return labels
+        stars, turn = STAR_SHARE * new.count() >= posted, turn + 1
