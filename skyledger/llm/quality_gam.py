@@ -51,7 +51,8 @@ def _byte_classes() -> np.ndarray:
     return kinds
 
 
-def _row(b: np.ndarray, counts: np.ndarray, words: np.ndarray, lengths: np.ndarray) -> list[float]:
+def _row(b: np.ndarray, counts: np.ndarray, words: np.ndarray, lengths: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[float]:
+    """Features of a text from its bytes, word hashes and word lengths; p and q are powers for hashes of its lines and their inverses."""
     n, size = len(words), max(1, len(b))
     if not n:
         return [0.0] * len(FEATURES)
@@ -60,9 +61,9 @@ def _row(b: np.ndarray, counts: np.ndarray, words: np.ndarray, lengths: np.ndarr
     pairs = words[1:] * np.uint64(3) + words[:-1]
     ends = np.concatenate([np.flatnonzero(b == 10), [len(b)]])
     sums = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(b * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1), out=sums[1:])
+    np.cumsum((b * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)) * p[: len(b)], out=sums[1:])
     starts = np.concatenate([[0], ends[:-1] + 1])
-    line = sums[ends] - sums[starts]  # equal lines have equal sums
+    line = (sums[ends] - sums[starts]) * q[np.minimum(starts, len(b) - 1)]
     _, first, line_uses = np.unique(line, return_index=True, return_counts=True)
     line_bytes = (ends - starts)[first]
     upper, digit, mark, odd, high, _, stops, code = by_byte
@@ -86,7 +87,7 @@ def _extractor():
             for i in range(len(bounds) - 1):
                 low, high = offsets[first + i] - offsets[first], offsets[first + i + 1] - offsets[first]
                 own = slice(bounds[i], bounds[i + 1])
-                out[first + i] = _row(b[low:high], counts, hashes[own], ends[own] - starts[own])
+                out[first + i] = _row(b[low:high], counts, hashes[own], ends[own] - starts[own], words.p, words.q)
         return out
 
     return extract

@@ -385,7 +385,8 @@ def test_features_and_scores_equal_plain_python(spark):
             np.mean([p == q for p, q in pairs]) if pairs else 0.0, n / (sum(b.count(bytes([c])) for c in b".!?") + 1), float((lens <= 3).mean()), count(b"<>{}[]()/\\"),
         ]
 
-    assert np.allclose(x, [slow(t) for t in texts])
+    want = np.array([slow(t) for t in texts])
+    assert np.allclose(x, want), [(quality_gam.FEATURES[j], x[i, j], want[i, j]) for i, j in zip(*np.nonzero(~np.isclose(x, want)), strict=True)][:5]
     y = (x[:, 0] > 3).astype(float)
     model = quality_gam.fit(x, y)
 
