@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+import os
+from collections.abc import Mapping
+from dataclasses import dataclass, field, fields
+from pathlib import Path
 
 
 @dataclass(frozen=True)
@@ -20,6 +24,40 @@ class Settings:
     horizons: tuple[int, ...] = (60, 180, 360)
 
 
+def load(path: str | None = None, env: Mapping[str, str] = os.environ, prefix: str = "SKYLEDGER_") -> Settings:
+    """Defaults, then a JSON file, then environment variables such as SKYLEDGER_EVENT_HOURS; lists there are JSON or separated by commas.
+
+    Names that aren't settings and values of another kind raise ValueError.
+    """
+    given = json.loads(Path(path).read_text()) if path else {}
+    known = {f.name: getattr(Settings(), f.name) for f in fields(Settings)}
+    if unknown := sorted(set(given) - set(known)):
+        raise ValueError(f"unknown settings: {', '.join(unknown)}")
+    for name, default in known.items():
+        if (text := env.get(prefix + name.upper())) is not None:
+            given[name] = text if isinstance(default, str) else _from_text(name, text, isinstance(default, tuple))
+    return Settings(**{name: _checked(name, value, known[name]) for name, value in given.items()})
+
+
+def _from_text(name: str, text: str, several: bool):
+    try:
+        return json.loads(text)
+    except ValueError:
+        if several:
+            return [part.strip() for part in text.split(",")]
+        raise ValueError(f"{name}: {text!r} is no number or JSON") from None
+
+
+def _checked(name: str, value, default):
+    if isinstance(default, tuple) and isinstance(value, list):
+        value = tuple(tuple(x) if isinstance(x, list) else x for x in value)
+    elif isinstance(default, float) and isinstance(value, int) and not isinstance(value, bool):
+        value = float(value)
+    if type(value) is not type(default):
+        raise ValueError(f"{name}: {value!r} should be a {type(default).__name__}")
+    return value
+
+
 SETTINGS = Settings()
 #: Order of severities, from which the highest is taken.
 SEVERITIES = ("NORMAL", "ELEVATED", "HIGH", "SEVERE", "EXTREME")

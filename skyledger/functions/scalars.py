@@ -26,6 +26,15 @@ def record_key(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("|", *(F.lower(stripped(F.coalesce(p.cast("string"), F.lit("none")))) for p in parts)), 256)
 
 
+def connector_key(source: str, *parts: Column) -> Column:
+    """The connectors' own key: neither lower-cased nor stripped."""
+    return F.sha2(F.concat_ws("|", F.lit(source), *(p.cast("string") for p in parts)), 256)
+
+
+def url_cache_key(url: Column) -> Column:
+    return F.md5(url)
+
+
 def measurement_key() -> Column:
     return record_key(F.col("source"), F.col("station_id"), F.col("sensor_id"), F.col("pollutant"), iso_utc(F.col("observed_at")))
 
@@ -57,6 +66,14 @@ def connector_units(value: Column, unit: Column) -> tuple[Column, Column]:
     return F.when(milli, value * 1000.0).otherwise(value), F.when(milli, "µg/m³").otherwise(unit)
 
 
+def hour_path(ts: Column) -> Column:
+    return F.date_format(ts, "'year='yyyy'/month='MM'/day='dd'/hour='HH")
+
+
+def days_ago(now: Column, days: int) -> Column:
+    return now - F.expr(f"interval {int(days)} days")
+
+
 def hour_floor(ts: Column) -> Column:
     return F.date_trunc("hour", ts).cast("timestamp_ntz")
 

@@ -46,10 +46,6 @@ def detect_with_fallback(facts: DataFrame, own: DataFrame, citywide: DataFrame,
     return out.withColumn("fallback_used", F.coalesce(F.col("reason").isin("citywide", "recent_7d"), F.lit(False)))
 
 
-def mart_flag(median: Column, hist: Column, mad: Column) -> Column:
-    return F.when(F.abs(median - hist) > 3 * mad, 1).otherwise(0)
-
-
 def summary(anomalies: DataFrame) -> DataFrame:
     count = lambda s: F.count_if(F.col("severity") == s)
     total = F.count(F.lit(1))

@@ -1,7 +1,8 @@
 """Pollution events: ordered greedy scan for runs, then merging of neighbours, without Python code on executors.
 
 Each anomaly learns by windows where an event would end if a scan started there: three rows exactly an hour apart, else all rows within
-four hours if they are three or more. A fold over the group's (row, end) pairs then takes starts greedily.
+four hours if they are three or more. A fold over (row, end) pairs then takes starts greedily. No event crosses a gap of more than four hours,
+so the fold is over one episode between such gaps, not over the history of a place.
 """
 
 from __future__ import annotations
@@ -30,19 +31,24 @@ def candidate_ends(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("within", F.max("rn").over(ahead))
     consecutive = (F.col("l1") - F.col("micros") == HOUR) & (F.col("l2") - F.col("l1") == HOUR)
     last = F.when(consecutive, F.col("rn") + 2).when(F.col("within") - F.col("rn") + 1 >= SETTINGS.event_least, F.col("within"))
-    return rows.withColumn("last", last).drop("l1", "l2", "within")
+    gap = F.col("micros") - F.lag("micros").over(order) > SETTINGS.event_hours * HOUR
+    return rows.withColumns({"last": last, "opens": F.coalesce(gap.cast("int"), F.lit(1))}).withColumn("episode", F.sum("opens").over(order)).drop("l1", "l2", "within", "opens")
 
 
 def greedy_spans(rows: DataFrame) -> DataFrame:
-    """(keys, first, last) in rows of ``candidate_ends``. Only possible starts are folded, not all rows."""
-    fold = """aggregate(array_sort(collect_list(struct(rn, last))), struct(1 as nxt, cast(array() as array<struct<first:int,last:int>>) as spans),
+    """(keys, first, last) in rows of ``candidate_ends``, episode by episode. Only possible starts are folded, not all rows."""
+    fold = """aggregate(array_sort(collect_list(struct(rn, last))), struct(0 as nxt, cast(array() as array<struct<first:int,last:int>>) as spans),
         (acc, r) -> if(r.rn >= acc.nxt, struct(r.last + 1 as nxt, concat(acc.spans, array(struct(r.rn as first, r.last as last))) as spans), acc)).spans"""
-    return rows.where("last is not null").groupBy(*KEYS).agg(F.expr(fold).alias("spans")).select(*KEYS, F.inline("spans"))
+    return rows.where("last is not null").groupBy(*KEYS, "episode").agg(F.expr(fold).alias("spans")).select(*KEYS, F.inline("spans"))
 
 
 def raw_events(rows: DataFrame) -> DataFrame:
     """One row for each span: extremes of time, truthy peak and mean, largest |z|, highest severity, count."""
-    members = rows.drop("last").join(greedy_spans(rows), KEYS).where("rn between first and last")
+    starts = greedy_spans(rows).withColumn("rn", F.col("first"))
+    # Spans don't overlap: the span that a row may be in is the last one begun. One row for each, not rows times spans.
+    so_far = Window.partitionBy(*KEYS).orderBy("rn")
+    begun = rows.drop("last").join(starts, [*KEYS, "rn"], "left").withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in ("first", "last")})
+    members = begun.where("rn <= last")
     rank = F.max(severity_rank(F.col("severity"), SEVERITIES))
     seen = F.when(F.col("observed_value") != 0, F.col("observed_value"))
     return members.groupBy(*KEYS, "first").agg(

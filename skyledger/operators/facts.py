@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import hour_floor
+from ..functions.scalars import hour_floor, surrogate_key
 
 
 def r6(c: Column) -> Column:
@@ -13,17 +13,22 @@ def r6(c: Column) -> Column:
     return F.round(c, 6)
 
 
+def decimal2(c: Column, precision: int) -> Column:
+    """Two places by way of six, so that ties are those of decimals and not of doubles."""
+    return r6(c).cast("decimal(24,6)").cast(f"decimal({precision},2)")
+
+
 def air_quality_hourly(clean: DataFrame) -> DataFrame:
-    """By source, station, pollutant and hour; ``value_ug`` is in µg/m³."""
+    """By source, station, pollutant and hour; ``value_ug`` is in µg/m³. Median and deviation have two places."""
     v = F.col("value_ug")
     return clean.groupBy("source", "station_id", "pollutant", hour_floor(F.col("observed_at")).alias("hour_start")).agg(
         F.count(F.lit(1)).alias("observation_count"),
         F.count_distinct("raw_payload_hash").alias("unique_records"),
         r6(F.avg(v)).alias("mean_value"),
-        r6(F.percentile(v, 0.5)).alias("median_value"),
+        decimal2(F.percentile(v, 0.5), 10).alias("median_value"),
         F.min(v).alias("min_value"),
         F.max(v).alias("max_value"),
-        r6(F.stddev_pop(v)).alias("stddev_value"),
+        decimal2(F.stddev_pop(v), 10).alias("stddev_value"),
         F.count_if(v > 0).alias("positive_count"),
     )
 
@@ -81,13 +86,40 @@ def circular_wind(first: DataFrame) -> DataFrame:
 
 
 def coverage(count: Column) -> Column:
-    """Share of one expected observation an hour, as a double; more than one gives over 100."""
-    return F.round(count / F.lit(1.0) * 100, 2)
+    """Share of one expected observation an hour; more than one gives over 100, so there is room for more digits than a percentage has."""
+    return decimal2(count / F.lit(1.0) * 100, 10)
 
 
 def air_quality_score(n: Column, mean: Column, hist: Column, mad: Column) -> Column:
     near = 1 - F.least(F.lit(1.0), F.abs(mean - F.coalesce(hist, mean)) / (F.coalesce(mad, F.lit(1.0)) + 0.1))
-    return F.round(F.least(F.lit(100.0), F.greatest(F.lit(0.0), n * 100 * 0.7 + near * 30)), 2)
+    return decimal2(F.least(F.lit(100.0), F.greatest(F.lit(0.0), n * 100 * 0.7 + near * 30)), 5)
+
+
+def with_baselines(hourly: DataFrame, stations: DataFrame, baselines: DataFrame) -> DataFrame:
+    """Hourly facts of mapped stations with the baseline of their location, pollutant, month and hour of the day, or nulls."""
+    keys = ["location_id", "pollutant", "month", "hour_of_day"]
+    mapped = with_location(hourly, stations).where("location_id <> 'UNMAPPED'").withColumns({"month": F.month("hour_start"), "hour_of_day": F.hour("hour_start")})
+    return mapped.join(baselines.select(*keys, "historical_median", "mad", "p90", "p95", "p99"), keys, "left").drop("month", "hour_of_day")
+
+
+def air_quality_mart(rows: DataFrame) -> DataFrame:
+    """The mart's columns of ``with_baselines``: what a missing baseline leaves open is the hour's own median and maximum."""
+    own = lambda c: F.coalesce(c, F.col("max_value"))
+    return rows.select(
+        surrogate_key("location_id", "pollutant", "hour_start").alias("fact_key"), surrogate_key("source", "station_id", "location_id", "pollutant", "hour_start").alias("full_key"),
+        "location_id", "source", "station_id", "pollutant", "hour_start", "observation_count", "unique_records", "mean_value", "median_value", "min_value", "max_value", "stddev_value",
+        F.lit(1).alias("expected_observation_count"), coverage(F.col("observation_count")).alias("coverage_pct"),
+        F.coalesce("historical_median", F.col("median_value").cast("double")).alias("baseline_median"), F.coalesce("mad", F.lit(0.0)).alias("baseline_mad"),
+        *(own(p).alias(f"baseline_{p}") for p in ("p90", "p95", "p99")),
+        mart_flag(F.col("median_value"), F.col("historical_median"), F.col("mad")).alias("anomaly_flag"),
+        air_quality_score(F.col("observation_count"), F.col("mean_value"), F.col("historical_median"), F.col("mad")).alias("quality_score"),
+    )
+
+
+def mart_flag(median: Column, hist: Column, mad: Column) -> Column:
+    """Whether the median is more than three deviations off, compared as decimals."""
+    exact = lambda c: c.cast("decimal(24,6)")
+    return F.when(F.abs(exact(median) - exact(hist)) > 3 * exact(mad), 1).otherwise(0)
 
 
 def weather_score(n: Column) -> Column:

@@ -61,13 +61,35 @@ def pollutant_features(targets: DataFrame, facts: DataFrame, citywide: DataFrame
     return rows.withColumns({**columns, "imputation_count": imputed}).where("is_target").select(*keys, "hour_start", *columns, "imputation_count")
 
 
-def weather_features(targets: DataFrame, weather: DataFrame) -> DataFrame:
-    """Weather an hour before (filled up to three hours back) and rolling means over 6 and 24 hours."""
+def citywide_weather(weather: DataFrame) -> DataFrame:
+    """One row: the mean of each variable over all places and hours, ``<variable>_mean``."""
+    return weather.agg(*(r6(F.avg(v)).alias(f"{v}_mean") for v in WEATHER))
+
+
+def weather_features(targets: DataFrame, weather: DataFrame, citywide: DataFrame | None = None) -> DataFrame:
+    """Weather an hour before (filled up to three hours back) and rolling means over 6 and 24 hours.
+
+    What is missing is the city's mean, if there is one; ``weather_imputation_count`` counts values that aren't the hour's own or the window's.
+    """
     keys = ["location_id"]
     rows = _gridded(targets.select("location_id", "hour_start").distinct(), weather, keys)
-    columns: dict[str, Column] = {f"{v}_lag_1h": lag_filled(v, keys, 1) for v in WEATHER}
-    columns |= {f"{v}_mean_{w}h": r6(F.avg(v).over(_frame(keys, -w, -1))) for v in WEATHER_MEANS for w in (6, 24)}
-    out = rows.withColumns(columns).where("is_target").select(*keys, "hour_start", *columns)
+    fallback = {v: F.lit(None).cast("double") for v in WEATHER}
+    if citywide is not None:
+        means = citywide.first() or {}
+        fallback = {v: F.lit(means[f"{v}_mean"]).cast("double") for v in WEATHER}
+    columns: dict[str, Column] = {}
+    imputed = F.lit(0)
+    for v in WEATHER:
+        exact, filled = lag(v, keys, 1), F.coalesce(lag_filled(v, keys, 1), fallback[v])
+        columns[f"{v}_lag_1h"] = filled
+        imputed = imputed + F.when(exact.isNull() & filled.isNotNull(), 1).otherwise(0)
+    for v in WEATHER_MEANS:
+        for w in (6, 24):
+            mean = r6(F.avg(v).over(_frame(keys, -w, -1)))
+            columns[f"{v}_mean_{w}h"] = F.coalesce(mean, fallback[v])
+            if citywide is not None:
+                imputed = imputed + F.when(mean.isNull(), 1).otherwise(0)
+    out = rows.withColumns({**columns, "weather_imputation_count": imputed}).where("is_target").select(*keys, "hour_start", *columns, "weather_imputation_count")
     angle = F.col("wind_direction_lag_1h") * F.pi() / 180
     return out.withColumns({"wind_x": r6(F.sin(angle)) + 0.0, "wind_y": r6(F.cos(angle)) + 0.0})
 
@@ -79,8 +101,9 @@ def calendar(hour: Column) -> dict[str, Column]:
     }
 
 
-def feature_table(targets: DataFrame, facts: DataFrame, citywide: DataFrame, weather: DataFrame, horizon_minutes: int = 60) -> DataFrame:
+def feature_table(targets: DataFrame, facts: DataFrame, citywide: DataFrame, weather: DataFrame, horizon_minutes: int = 60, citywide_wx: DataFrame | None = None) -> DataFrame:
     if horizon_minutes < 0:
         raise ValueError("the horizon must not be negative")
-    out = pollutant_features(targets, facts, citywide).join(weather_features(targets, weather), ["location_id", "hour_start"], "left")
+    out = pollutant_features(targets, facts, citywide).join(weather_features(targets, weather, citywide_wx), ["location_id", "hour_start"], "left")
+    out = out.withColumn("imputation_count", F.col("imputation_count") + F.coalesce("weather_imputation_count", F.lit(0))).drop("weather_imputation_count")
     return out.withColumns({**calendar(F.col("hour_start")), "horizon_minutes": F.lit(horizon_minutes), "feature_version": F.lit(VERSION)})

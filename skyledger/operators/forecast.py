@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .baselines import exact_percentiles
 from .facts import r6
 
 KEYS = ["location_id", "pollutant"]
@@ -49,12 +50,16 @@ def evaluate_model(pairs: DataFrame) -> DataFrame:
     error = F.abs(F.col("actual") - F.col("prediction"))
     part = F.when(F.abs("actual") > 1e-10, error / F.abs("actual")).otherwise(0.0)
     some = F.max(F.abs("actual")) > 1e-10
-    return ok.agg(r6(F.avg(error)).alias("mae"), r6(F.sqrt(F.avg(error * error))).alias("rmse"), r6(F.percentile(error, 0.5)).alias("median_ae"), r6(F.when(some, F.avg(part) * 100)).alias("mape"), F.count(F.lit(1)).alias("n"))
+    means = ok.agg(r6(F.avg(error)).alias("mae"), r6(F.sqrt(F.avg(error * error))).alias("rmse"), r6(F.when(some, F.avg(part) * 100)).alias("mape"), F.count(F.lit(1)).alias("n"), F.lit(0).alias("_one"))
+    middle = exact_percentiles(ok.select(error.alias("_e")), [], "_e", (0.5,)).select(r6(F.col("p")[0]).alias("median_ae"), F.lit(0).alias("_one"))
+    return means.join(middle, "_one", "left").select("mae", "rmse", "median_ae", "mape", "n")
 
 
 def residual_interval(pairs: DataFrame) -> DataFrame:
     residual = F.col("actual") - F.col("prediction")
-    return pairs.where("actual is not null and prediction is not null").agg(r6(F.percentile(residual, 0.05)).alias("low"), r6(F.percentile(residual, 0.95)).alias("high"), F.count(F.lit(1)).alias("n"))
+    known = pairs.where("actual is not null and prediction is not null").select(residual.alias("_r"), F.lit(0).alias("_one"))
+    ends = exact_percentiles(known, ["_one"], "_r", (0.05, 0.95)).select("_one", r6(F.col("p")[0]).alias("low"), r6(F.col("p")[1]).alias("high"))
+    return known.agg(F.count(F.lit(1)).alias("n"), F.lit(0).alias("_one")).join(ends, "_one", "left").select("low", "high", "n")
 
 
 def interval(prediction: Column, low: Column, high: Column, n: Column) -> dict[str, Column]:

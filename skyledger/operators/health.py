@@ -51,7 +51,11 @@ def station_metrics(raw: DataFrame, hours: int) -> DataFrame:
 
 
 def health_summary(scores: DataFrame) -> DataFrame:
-    """The median is the upper one of an even number, not interpolated."""
-    total = F.count(F.lit(1))
-    upper = F.element_at(F.array_sort(F.collect_list("health_score")), F.floor(total / 2).cast("int") + 1)
-    return scores.agg(total.alias("stations"), *(F.count_if(F.col("status") == s).alias(s) for s in ("healthy", "degraded", "offline")), r6(F.count_if(F.col("status") == "healthy") * 100.0 / total).alias("healthy_pct"), r6(F.avg("health_score")).alias("mean_score"), upper.alias("median_score"))
+    """The median is the upper one of an even number, not interpolated; scores are few numbers, so it is found among their counts."""
+    counts = scores.groupBy("health_score", "status").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n")
+    of = lambda s: F.coalesce(F.sum(F.when(F.col("status") == s, F.col("n"))), F.lit(0))
+    ranked = F.array_sort(F.collect_list(F.struct("health_score", "n")))
+    upper = F.aggregate("ranked", F.struct(F.lit(0).cast("bigint").alias("upto"), F.lit(None).cast("double").alias("found")), lambda a, x: F.struct((a["upto"] + x["n"]).alias("upto"), F.when(a["found"].isNull() & (a["upto"] + x["n"] > F.floor(F.col("stations") / 2)), x["health_score"]).otherwise(a["found"]).alias("found")))["found"]
+    out = counts.agg(F.coalesce(total, F.lit(0)).alias("stations"), *(of(s).alias(s) for s in ("healthy", "degraded", "offline")), r6(of("healthy") * 100.0 / total).alias("healthy_pct"), r6(F.sum(F.col("health_score") * F.col("n")) / total).alias("mean_score"), ranked.alias("ranked"))
+    return out.withColumn("median_score", upper).drop("ranked")

@@ -24,6 +24,16 @@ def needs_recompute(observed_at: Column, now: Column, lookback_hours: int) -> Co
     return observed_at >= now - F.expr(f"interval {lookback_hours} hours")
 
 
+def split_by_lookback(rows: DataFrame, now: Column, lookback_hours: int) -> tuple[DataFrame, DataFrame]:
+    """Rows to compute anew, and the rest for a backfill, rows without a time among them."""
+    recent = F.coalesce(needs_recompute(F.col("observed_at"), now, lookback_hours), F.lit(False))
+    return rows.where(recent), rows.where(~recent)
+
+
+def lookback_range(now: Column, lookback_hours: int) -> tuple[Column, Column]:
+    return now - F.expr(f"interval {lookback_hours} hours"), now
+
+
 def affected_hours(rows: DataFrame, now: Column, lookback_hours: int) -> DataFrame:
     """Distinct (date, hour) partitions to compute anew."""
     return rows.where(needs_recompute(F.col("observed_at"), now, lookback_hours)).select(F.to_date("observed_at").alias("date"), F.hour("observed_at").alias("hour")).distinct()

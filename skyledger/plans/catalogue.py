@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from ..config import SETTINGS
 from ..functions import scalars as S
-from ..operators import anomaly, baselines, dedup, events, facts, features, forecast, health, late, quality, serving
+from ..operators import anomaly, baselines, dedup, events, facts, features, forecast, health, late, ml, quality, serving
 from ..operators.facts import r6
-from .views import CTES, NOW, SEVERITY, STATS, Views, now, z_sql
+from ..sources import landing
+from .views import CTES, NOW, SEVERITY, STATS, Views, dec2, now, z_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,6 +102,12 @@ def filter_monitored(v):
     return v.aq_first.where(F.col("pollutant").isin("pm25", "no2")).select("raw_payload_hash", "pollutant")
 
 
+@query("SELECT raw_payload_hash, pollutant FROM (SELECT raw_payload_hash, CASE WHEN CAST(raw_payload_hash AS BIGINT) % 5 = 0 THEN 'co' ELSE pollutant END AS pollutant FROM aq_first) WHERE pollutant <> 'co'")
+def filter_monitored_settings(v):
+    rows = v.aq_first.withColumn("pollutant", F.when(F.col("raw_payload_hash").cast("bigint") % 5 == 0, "co").otherwise(F.col("pollutant")))
+    return rows.where(F.col("pollutant").isin(*SETTINGS.monitored)).select("raw_payload_hash", "pollutant")
+
+
 @query("SELECT raw_payload_hash, station_id, sensor_id FROM aq_first WHERE station_id <> '0' AND sensor_id <> '' AND value IS NOT NULL AND observed_at IS NOT NULL")
 def filter_required_ids(v):
     return v.aq_first.where("station_id <> '0' and sensor_id <> '' and value is not null and observed_at is not null").select("raw_payload_hash", "station_id", "sensor_id")
@@ -206,7 +213,7 @@ def dqtest_not_null_accepted(v):
     return v.aq_hourly.where("mean_value is null or station_id is null or pollutant not in ('pm25', 'pm10', 'no2', 'o3')").select("source", "station_id", "pollutant", "hour_start")
 
 
-@query("SELECT source, station_id, pollutant, hour_start, round(observation_count / 1.0 * 100, 2) AS coverage_pct FROM aq_hourly WHERE observation_count / 1.0 * 100 > 100")
+@query("SELECT source, station_id, pollutant, hour_start, CAST(observation_count * 100 AS DECIMAL(10,2)) AS coverage_pct FROM aq_hourly WHERE observation_count / 1.0 * 100 > 100")
 def dqtest_coverage(v):
     return v.aq_hourly.withColumn("coverage_pct", facts.coverage(F.col("observation_count"))).where("coverage_pct > 100 or coverage_pct < 0").select("source", "station_id", "pollutant", "hour_start", "coverage_pct")
 
@@ -221,15 +228,29 @@ def dqtest_recency(v):
     return v.aq_hourly.agg(F.max("hour_start").alias("latest")).withColumn("recent", F.col("latest") >= now() - F.expr("interval 2 hours"))
 
 
+@query("SELECT station_id, pollutant, hour_start FROM mart WHERE mean_value < 0 OR observation_count < 1 OR median_value NOT BETWEEN 0 AND 99")
+def dqtest_between(v):
+    rows = v.mart.where("mean_value < 0 or observation_count < 1 or median_value not between 0 and 99")
+    return rows.select("station_id", "pollutant", "hour_start")
+
+
+@query("SELECT unnest(['station_id', 'hour_start', 'observation_count', 'mean_value', 'median_value', 'stddev_value']) AS column_name, unnest([any_value(typeof(station_id)), any_value(typeof(hour_start)), any_value(typeof(observation_count)), any_value(typeof(mean_value)), any_value(typeof(median_value)), any_value(typeof(stddev_value))]) AS kind FROM aq_hourly")
+def dqtest_column_types(v):
+    names = {"string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "bigint": "BIGINT", "double": "DOUBLE", "decimal(10,2)": "DECIMAL(10,2)"}
+    kinds = dict(v.aq_hourly.dtypes)
+    found = [(c, names.get(kinds[c], kinds[c])) for c in ("station_id", "hour_start", "observation_count", "mean_value", "median_value", "stddev_value")]
+    return v.spark.createDataFrame(found, "column_name string, kind string")
+
+
 # Joins
 @query("SELECT h.*, coalesce(s.location_id, 'UNMAPPED') AS location_id FROM aq_hourly h LEFT JOIN stations s USING (source, station_id)")
 def join_station_dim(v):
-    return facts.with_location(v.aq_hourly, F.broadcast(v.stations))
+    return facts.with_location(v.aq_hourly, v.stations)
 
 
 @query("SELECT w.location_id, w.hour_start, coalesce(l.city, 'UNKNOWN') AS city FROM wx_first w LEFT JOIN locations l USING (location_id)")
 def join_location_dim(v):
-    return v.wx_first.join(F.broadcast(v.locations), "location_id", "left").select("location_id", "hour_start", F.coalesce("city", F.lit("UNKNOWN")).alias("city"))
+    return v.wx_first.join(v.locations, "location_id", "left").select("location_id", "hour_start", F.coalesce("city", F.lit("UNKNOWN")).alias("city"))
 
 
 @query(f"SELECT h.location_id, h.pollutant, h.hour_start, h.value, b.n, b.historical_median, b.mad FROM hourly h LEFT JOIN (SELECT location_id, pollutant, month(hour_start) AS m, hour(hour_start) AS hod, {STATS} FROM hourly GROUP BY ALL) b ON h.location_id = b.location_id AND h.pollutant = b.pollutant AND month(h.hour_start) = b.m AND hour(h.hour_start) = b.hod")
@@ -245,13 +266,15 @@ def join_baseline_lookup(v):
 
 @query("SELECT s_suppkey AS station_key, n_name AS location, s_acctbal AS balance FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0")
 def join_active_stations(v):
-    return v.table("supplier").where("s_acctbal > 0").join(F.broadcast(v.table("nation")), F.col("s_nationkey") == F.col("n_nationkey")).selectExpr("s_suppkey as station_key", "n_name as location", "s_acctbal as balance")
+    return v.table("supplier").where("s_acctbal > 0").join(v.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")).selectExpr("s_suppkey as station_key", "n_name as location", "s_acctbal as balance")
 
 
-@query("SELECT o_orderkey AS run_id, c_name AS source_name, o_orderdate AS started_at FROM orders JOIN customer ON o_custkey = c_custkey ORDER BY o_orderdate DESC, o_orderkey LIMIT 100")
+@query("SELECT o_orderkey AS run_id, c_name AS source_name, CAST(o_orderdate AS TIMESTAMP) AS started_at, CAST(o_orderkey % 5000 AS DOUBLE) AS duration_seconds FROM orders JOIN customer ON o_custkey = c_custkey ORDER BY o_orderdate DESC, o_orderkey LIMIT 100")
 def join_recent_runs(v):
     top = v.table("orders").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(100)
-    return top.join(v.table("customer"), F.col("o_custkey") == F.col("c_custkey")).selectExpr("o_orderkey as run_id", "c_name as source_name", "o_orderdate as started_at")
+    runs = top.join(v.table("customer"), F.col("o_custkey") == F.col("c_custkey")).selectExpr("o_orderkey as run_id", "c_name as source_name", "cast(o_orderdate as timestamp_ntz) as started_at")
+    runs = runs.withColumn("finished_at", F.col("started_at") + F.expr("make_dt_interval(0, 0, 0, run_id % 5000)"))
+    return runs.withColumn("duration_seconds", S.epoch_seconds(F.col("finished_at")) - S.epoch_seconds(F.col("started_at"))).drop("finished_at")
 
 
 @query("SELECT p_partkey AS model_id, p_name AS model, s_name AS owner FROM part JOIN supplier ON p_partkey = s_suppkey WHERE p_size > 10")
@@ -340,9 +363,15 @@ def agg_baseline_parity(v):
     return baselines.parity_fallback(baselines.hourly_baselines(v.hourly))
 
 
+@query("SELECT a.location_id, a.pollutant, a.month, a.hour_of_day, coalesce(b.n, 0) AS n, b.historical_median, b.mad, b.p50, b.p75, b.p90, b.p95, b.p99, b.n IS NULL AS fallback_used, CASE WHEN b.n IS NULL THEN 'no_data' END AS fallback_reason FROM (SELECT location_id, unnest(['pm25', 'co']) AS pollutant, 1 AS month, 0 AS hour_of_day FROM locations) a LEFT JOIN hour_baselines b USING (location_id, pollutant, month, hour_of_day)")
+def agg_baseline_empty(v):
+    asked = v.locations.select("location_id", F.explode(F.array(F.lit("pm25"), F.lit("co"))).alias("pollutant"), F.lit(1).alias("month"), F.lit(0).alias("hour_of_day"))
+    return baselines.baselines_asked(asked, v.hourly)
+
+
 @query("SELECT pollutant, round(quantile_cont(value_ug, 0.1), 6) AS p10, round(quantile_cont(value_ug, 0.9), 6) AS p90 FROM aq_clean GROUP BY pollutant")
 def agg_percentile(v):
-    return v.aq_clean.groupBy("pollutant").agg(F.percentile("value_ug", F.array(F.lit(0.1), F.lit(0.9))).alias("p")).select("pollutant", r6(F.col("p")[0]).alias("p10"), r6(F.col("p")[1]).alias("p90"))
+    return baselines.exact_percentiles(v.aq_clean, ["pollutant"], "value_ug", (0.1, 0.9)).select("pollutant", r6(F.col("p")[0]).alias("p10"), r6(F.col("p")[1]).alias("p90"))
 
 
 @query("SELECT pollutant, round(mad(value), 6) AS mad FROM hourly GROUP BY pollutant")
@@ -404,28 +433,27 @@ def anom_zero_mad(v):
     return rows.select("raw_payload_hash", anomaly.zero_mad_z(F.col("value"), F.col("m")).alias("z"))
 
 
-_MART = "FROM aq_hourly a LEFT JOIN stations s USING (source, station_id) LEFT JOIN month_baselines b ON s.location_id = b.location_id AND a.pollutant = b.pollutant WHERE s.location_id IS NOT NULL"
+_FLAG = "CASE WHEN abs(CAST(median_value AS DECIMAL(24,6)) - CAST(historical_median AS DECIMAL(24,6))) > 3 * CAST(mad AS DECIMAL(24,6)) THEN 1 ELSE 0 END"
+_NEAR = "(1 - least(1.0, abs(mean_value - coalesce(historical_median, mean_value)) / (coalesce(mad, 1.0) + 0.1::DOUBLE)))"
+_QUALITY = dec2(f"least(100.0, greatest(0.0, observation_count * 100 * 0.7::DOUBLE + {_NEAR} * 30))", 5)
 
 
-def _mart(v):
-    mapped = facts.with_location(v.aq_hourly, F.broadcast(v.stations)).where("location_id <> 'UNMAPPED'")
-    return mapped.join(v.month_baselines.select("location_id", "pollutant", "historical_median", "mad", "p95"), ["location_id", "pollutant"], "left")
+@query(f"SELECT location_id, source, station_id, pollutant, hour_start, {_FLAG} AS is_anomaly FROM mart")
+def anom_flag_mart(v):
+    return facts.air_quality_mart(v.mart).select("location_id", "source", "station_id", "pollutant", "hour_start", F.col("anomaly_flag").alias("is_anomaly"))
 
 
-@query(f"SELECT s.location_id, a.source, a.station_id, a.pollutant, a.hour_start, CASE WHEN abs(a.median_value - b.historical_median) > 3 * b.mad THEN 1 ELSE 0 END AS is_anomaly {_MART}")
-def anom_flag_mart(v):
-    return _mart(v).select("location_id", "source", "station_id", "pollutant", "hour_start", anomaly.mart_flag(F.col("median_value"), F.col("historical_median"), F.col("mad")).alias("is_anomaly"))
+_DEFAULTS = "coalesce(historical_median, CAST(median_value AS DOUBLE)) AS baseline_median, coalesce(mad, 0.0) AS baseline_mad, coalesce(p90, max_value) AS baseline_p90, coalesce(p95, max_value) AS baseline_p95, coalesce(p99, max_value) AS baseline_p99"
 
 
-@query(f"SELECT a.station_id, a.pollutant, a.hour_start, coalesce(b.historical_median, a.median_value) AS historical_median, coalesce(b.p95, a.max_value) AS p95, coalesce(b.mad, 0.0) AS mad {_MART}")
+@query(f"SELECT station_id, pollutant, hour_start, {_DEFAULTS} FROM mart")
 def anom_baseline_default(v):
-    return _mart(v).select("station_id", "pollutant", "hour_start", F.coalesce("historical_median", "median_value").alias("historical_median"), F.coalesce("p95", "max_value").alias("p95"), F.coalesce("mad", F.lit(0.0)).alias("mad"))
+    return facts.air_quality_mart(v.mart).select("station_id", "pollutant", "hour_start", *(f"baseline_{c}" for c in ("median", "mad", "p90", "p95", "p99")))
 
 
-@query(f"SELECT a.station_id, a.pollutant, a.hour_start, round(least(100.0, greatest(0.0, observation_count * 100 * 0.7::DOUBLE + (1 - least(1.0, abs(mean_value - coalesce(historical_median, mean_value)) / (coalesce(mad, 1.0) + 0.1::DOUBLE))) * 30)), 2) AS quality_score {_MART}")
+@query(f"SELECT station_id, pollutant, hour_start, {_QUALITY} AS quality_score FROM mart")
 def quality_score_aq(v):
-    score = facts.air_quality_score(F.col("observation_count"), F.col("mean_value"), F.col("historical_median"), F.col("mad"))
-    return _mart(v).select("station_id", "pollutant", "hour_start", score.alias("quality_score"))
+    return facts.air_quality_mart(v.mart).select("station_id", "pollutant", "hour_start", "quality_score")
 
 
 @query("SELECT location_id, hour_start, round(least(100.0, greatest(0.0, count(*) * 100.0::DOUBLE)), 2) AS quality_score FROM wx_first GROUP BY ALL")
@@ -433,10 +461,12 @@ def quality_score_wx(v):
     return v.wx_first.groupBy("location_id", "hour_start").agg(F.count(F.lit(1)).alias("n")).select("location_id", "hour_start", facts.weather_score(F.col("n")).alias("quality_score"))
 
 
-@query(f"SELECT md5(s.location_id || '-' || a.pollutant || '-' || strftime(a.hour_start, '%Y-%m-%d %H:%M:%S')) AS fact_key, md5(a.source || '-' || a.station_id || '-' || s.location_id || '-' || a.pollutant || '-' || strftime(a.hour_start, '%Y-%m-%d %H:%M:%S')) AS full_key, a.source, a.station_id, a.pollutant, s.location_id, a.hour_start, observation_count, unique_records, mean_value, median_value, min_value, max_value, stddev_value, round(observation_count / 1.0 * 100, 2) AS coverage_pct, b.historical_median, b.mad {_MART}")
+_AT = "strftime(hour_start, '%Y-%m-%d %H:%M:%S')"
+
+
+@query(f"SELECT md5(location_id || '-' || pollutant || '-' || {_AT}) AS fact_key, md5(source || '-' || station_id || '-' || location_id || '-' || pollutant || '-' || {_AT}) AS full_key, location_id, source, station_id, pollutant, hour_start, observation_count, unique_records, mean_value, median_value, min_value, max_value, stddev_value, 1 AS expected_observation_count, {dec2('observation_count * 100.0', 10)} AS coverage_pct, {_DEFAULTS}, {_FLAG} AS anomaly_flag, {_QUALITY} AS quality_score FROM mart")
 def hourly_air_quality_facts(v):
-    rows = _mart(v)
-    return rows.select(S.surrogate_key("location_id", "pollutant", "hour_start").alias("fact_key"), S.surrogate_key("source", "station_id", "location_id", "pollutant", "hour_start").alias("full_key"), "source", "station_id", "pollutant", "location_id", "hour_start", "observation_count", "unique_records", "mean_value", "median_value", "min_value", "max_value", "stddev_value", facts.coverage(F.col("observation_count")).alias("coverage_pct"), "historical_median", "mad")
+    return facts.air_quality_mart(v.mart)
 
 
 # Health
@@ -482,7 +512,10 @@ def _imputed() -> str:
     return "CAST(" + " + ".join(lags + means) + " AS INT)"
 
 
-@query("SELECT location_id, h.pollutant, hour_start, " + ", ".join([*(f"coalesce(last_value(value IGNORE NULLS) OVER {_over(k + 3, k)}, c.historical_median) AS lag_{k}h" for k in features.LAGS), *(f"round(coalesce(avg(value) OVER {_over(w, 1)}, c.historical_median), 6) AS mean_{w}h" for w in features.MEANS), *(f"round(CASE WHEN count(value) OVER {_over(w, 1)} < 2 THEN 0.0 ELSE stddev_pop(value) OVER {_over(w, 1)} END, 6) AS std_{w}h" for w in features.STDS), f"coalesce(max(value) OVER {_over(24, 1)}, c.p99, c.historical_median) AS max_24h", f"{_imputed()} AS imputation_count"]) + " FROM hourly h LEFT JOIN citywide c ON h.pollutant = c.pollutant")
+_FEATURES = "SELECT location_id, h.pollutant, hour_start, " + ", ".join([*(f"coalesce(last_value(value IGNORE NULLS) OVER {_over(k + 3, k)}, c.historical_median) AS lag_{k}h" for k in features.LAGS), *(f"round(coalesce(avg(value) OVER {_over(w, 1)}, c.historical_median), 6) AS mean_{w}h" for w in features.MEANS), *(f"round(CASE WHEN count(value) OVER {_over(w, 1)} < 2 THEN 0.0 ELSE stddev_pop(value) OVER {_over(w, 1)} END, 6) AS std_{w}h" for w in features.STDS), f"coalesce(max(value) OVER {_over(24, 1)}, c.p99, c.historical_median) AS max_24h", f"{_imputed()} AS imputation_count"]) + " FROM hourly h LEFT JOIN citywide c ON h.pollutant = c.pollutant"
+
+
+@query(_FEATURES)
 def feat_generate(v):
     return features.pollutant_features(v.hourly, v.hourly, v.citywide)
 
@@ -496,12 +529,33 @@ def asof_ffill(v):
 _WX = "(PARTITION BY location_id ORDER BY epoch(hour_start) RANGE BETWEEN {} PRECEDING AND {} PRECEDING)"
 
 
-@query("SELECT location_id, hour_start, " + ", ".join([*(f"last_value({c} IGNORE NULLS) OVER {_WX.format(4 * 3600, 3600)} AS {c}_lag_1h" for c in features.WEATHER), *(f"round(avg({c}) OVER {_WX.format(w * 3600, 3600)}, 6) AS {c}_mean_{w}h" for c in features.WEATHER_MEANS for w in (6, 24)), *(f"round({f}(last_value(wind_direction IGNORE NULLS) OVER {_WX.format(4 * 3600, 3600)} * pi() / 180), 6) + 0.0::DOUBLE AS {n}" for f, n in (("sin", "wind_x"), ("cos", "wind_y")))]) + " FROM wx_hours")
+def _filled(c: str) -> str:
+    return f"coalesce(last_value({c} IGNORE NULLS) OVER {_WX.format(4 * 3600, 3600)}, {c}_mean)"
+
+
+def _wx_sql(targets: str) -> str:
+    """Weather features of the hours of ``targets``, over the grid of these and the weather's own hours."""
+    mean = lambda c, w: f"round(avg({c}) OVER {_WX.format(w * 3600, 3600)}, 6)"
+    lags = [f"{_filled(c)} AS {c}_lag_1h" for c in features.WEATHER]
+    means = [f"coalesce({mean(c, w)}, {c}_mean) AS {c}_mean_{w}h" for c in features.WEATHER_MEANS for w in (6, 24)]
+    wind = [f"round({f}({_filled('wind_direction')} * pi() / 180), 6) + 0.0::DOUBLE AS {n}" for f, n in (("sin", "wind_x"), ("cos", "wind_y"))]
+    imputed = [f"CASE WHEN max({c}) OVER {_WX.format(3600, 3600)} IS NULL AND {_filled(c)} IS NOT NULL THEN 1 ELSE 0 END" for c in features.WEATHER]
+    imputed += [f"CASE WHEN {mean(c, w)} IS NULL THEN 1 ELSE 0 END" for c in features.WEATHER_MEANS for w in (6, 24)]
+    city = ", ".join(f"round(avg({c}), 6) AS {c}_mean" for c in features.WEATHER)
+    grid = f"(SELECT location_id, hour_start FROM {targets} UNION SELECT location_id, hour_start FROM wx_hours) LEFT JOIN wx_hours USING (location_id, hour_start) CROSS JOIN (SELECT {city} FROM wx_hours)"
+    rows = f"SELECT location_id, hour_start, {', '.join([*lags, *means, *wind])}, CAST({' + '.join(imputed)} AS INT) AS weather_imputation_count FROM {grid}"
+    return f"SELECT * FROM ({rows}) WHERE (location_id, hour_start) IN (SELECT (location_id, hour_start) FROM {targets})"
+
+
+@query(_wx_sql("wx_hours"))
 def feat_weather(v):
-    return features.weather_features(v.wx_hours, v.wx_hours)
+    return features.weather_features(v.wx_hours, v.wx_hours, features.citywide_weather(v.wx_hours))
+
+
+_CALENDAR = "CAST(hour(hour_start) AS INT) AS hour_of_day, CAST(isodow(hour_start) - 1 AS INT) AS day_of_week, CAST(month(hour_start) AS INT) AS month, CAST(dayofyear(hour_start) AS INT) AS day_of_year, CASE WHEN isodow(hour_start) >= 6 THEN 1 ELSE 0 END AS is_weekend, CAST(hour(hour_start) AS INT) AS hour_since_midnight, CASE WHEN month(hour_start) IN (12, 1, 2) THEN 0 WHEN month(hour_start) <= 5 THEN 1 WHEN month(hour_start) <= 8 THEN 2 ELSE 3 END AS season"
 
 
-@query("SELECT location_id, hour_start, CAST(hour(hour_start) AS INT) AS hour_of_day, CAST(isodow(hour_start) - 1 AS INT) AS day_of_week, CAST(month(hour_start) AS INT) AS month, CAST(dayofyear(hour_start) AS INT) AS day_of_year, CASE WHEN isodow(hour_start) >= 6 THEN 1 ELSE 0 END AS is_weekend, CAST(hour(hour_start) AS INT) AS hour_since_midnight, CASE WHEN month(hour_start) IN (12, 1, 2) THEN 0 WHEN month(hour_start) <= 5 THEN 1 WHEN month(hour_start) <= 8 THEN 2 ELSE 3 END AS season FROM wx_hours")
+@query(f"SELECT location_id, hour_start, {_CALENDAR} FROM wx_hours")
 def feat_calendar(v):
     return v.wx_hours.select("location_id", "hour_start", *(c.alias(n) for n, c in features.calendar(F.col("hour_start")).items()))
 
@@ -511,9 +565,9 @@ def feat_wind_xy(v):
     return v.wx_hours.select("location_id", "hour_start", (r6(F.degrees(F.sin(F.radians("wind_direction")))) + 0.0).alias("x"), (r6(F.cos(F.col("wind_direction") * F.pi() / 180)) + 0.0).alias("y"))
 
 
-@query(None)
+@query(f"SELECT f.* EXCLUDE (imputation_count), w.* EXCLUDE (location_id, hour_start, weather_imputation_count), {_CALENDAR}, CAST(f.imputation_count + coalesce(w.weather_imputation_count, 0) AS INT) AS imputation_count, 60 AS horizon_minutes, '1.0.0' AS feature_version FROM ({_FEATURES}) f LEFT JOIN ({_wx_sql('hourly')}) w USING (location_id, hour_start)")
 def feature_table(v):
-    return features.feature_table(v.hourly, v.hourly, v.citywide, v.wx_hours)
+    return features.feature_table(v.hourly, v.hourly, v.citywide, v.wx_hours, citywide_wx=features.citywide_weather(v.wx_hours))
 
 
 # Forecasts and models
@@ -603,21 +657,32 @@ def split_walk_forward(v):
     return forecast.walk_forward(bounds, 10, 7)
 
 
-@query(None)
-def train_linear(v):
-    from ..operators import ml
+_PAIRS = "SELECT h.location_id, h.pollutant, h.hour_start, h.value, a.value AS lag_1h, b.value AS lag_24h FROM hourly h LEFT JOIN hourly a ON a.location_id = h.location_id AND a.pollutant = h.pollutant AND a.hour_start = h.hour_start - INTERVAL 1 HOUR LEFT JOIN hourly b ON b.location_id = h.location_id AND b.pollutant = h.pollutant AND b.hour_start = h.hour_start - INTERVAL 24 HOUR"
+_FITTED = f"SELECT p.*, f.a + f.b * lag_24h AS fitted FROM ({_PAIRS}) p, (SELECT regr_intercept(value, lag_24h) AS a, regr_slope(value, lag_24h) AS b FROM ({_PAIRS})) f"
 
-    table = feature_table(v).where("pollutant = 'pm25'").join(v.hourly.withColumnRenamed("value", "target"), ["location_id", "pollutant", "hour_start"])
-    model = ml.train(table, "target", "linear", ["lag_1h", "mean_6h", "mean_24h", "std_6h", "hour_of_day"])
-    return ml.training_metrics(model, table, "target")
 
+def _pairs(v):
+    at = lambda minutes, name: forecast.shifted(v.hourly.select("location_id", "pollutant", "hour_start"), v.hourly, minutes).select("location_id", "pollutant", "hour_start", F.col("prediction").alias(name))
+    keys = ["location_id", "pollutant", "hour_start"]
+    return v.hourly.join(at(60, "lag_1h"), keys, "left").join(at(1440, "lag_24h"), keys, "left")
+
+
+@query(f"SELECT round(avg(e), 6) AS mae, round(sqrt(avg(e ** 2)), 6) AS rmse, round(quantile_cont(e, 0.5), 6) AS median_ae, round(avg(CASE WHEN abs(value) > 1e-10 THEN e / abs(value) ELSE 0 END) * 100, 6) AS mape, count(*) AS n FROM (SELECT *, abs(value - fitted) AS e FROM ({_FITTED}) WHERE fitted IS NOT NULL)")
+def train_linear(v):
+    table = _pairs(v)
+    return ml.training_metrics(ml.train(table, "value", "linear", ["lag_24h"]), table, "value")
 
-@query(None)
-def predict_horizons(v):
-    from ..operators import ml
 
-    residuals = forecast.residual_interval(forecast.naive(v.hourly, v.hourly, 60).withColumnRenamed("value", "actual"))
-    return ml.predict_horizons(features.pollutant_features(v.hourly, v.hourly, v.citywide), None, residuals)
+@query(f"""SELECT location_id, pollutant, hour_start, CAST(h AS INT) AS horizon_minutes, round(coalesce(m, lag_1h), 6) AS prediction, CASE WHEN m IS NOT NULL THEN 'model' WHEN lag_1h IS NOT NULL THEN 'baseline' ELSE 'error' END AS method,
+round(CASE WHEN m IS NOT NULL AND n >= 10 THEN m + low ELSE coalesce(m, lag_1h) * 0.9::DOUBLE END, 6) AS lower, round(CASE WHEN m IS NOT NULL AND n >= 10 THEN m + high ELSE coalesce(m, lag_1h) * 1.1::DOUBLE END, 6) AS upper,
+CASE WHEN m IS NOT NULL AND n >= 10 THEN round(greatest(0.1, least(0.9, 1 - (high - low) / 100)), 6) WHEN coalesce(m, lag_1h) IS NOT NULL THEN 0.5 END::DOUBLE AS interval_confidence
+FROM (SELECT location_id, pollutant, hour_start, lag_1h, h, CASE WHEN h = 60 THEN fitted END AS m FROM ({_FITTED}), unnest([60, 180, 360]) t(h)),
+(SELECT round(quantile_cont(value - fitted, 0.05), 6) AS low, round(quantile_cont(value - fitted, 0.95), 6) AS high, count(*) AS n FROM ({_FITTED}) WHERE fitted IS NOT NULL)""")
+def predict_horizons(v):
+    table = _pairs(v)
+    model = ml.train(table, "value", "linear", ["lag_24h"])
+    residuals = forecast.residual_interval(ml.predictions(model, table).withColumnRenamed("value", "actual"))
+    return ml.predict_horizons(table, {60: model}, {60: residuals})
 
 
 # Scalars
@@ -680,6 +745,66 @@ def wm_query_start(v):
     return rows.select("source_id", late.query_start(F.col("last_event"), now(), 6).alias("query_start"))
 
 
+@query("SELECT CAST(o_custkey % 3 AS VARCHAR) AS source_id, arg_max(CAST(o_orderdate AS TIMESTAMP), f) AS requested_end, max(f) AS finished_at FROM (SELECT *, CAST(o_orderdate AS TIMESTAMP) + to_days(CAST(o_orderkey % 4 AS INT)) AS f FROM orders WHERE o_orderstatus = 'F') GROUP BY 1 HAVING count(*) > 0")
+def wm_latest(v):
+    runs = v.table("orders").selectExpr("CAST(o_custkey % 3 AS STRING) AS source_id", "if(o_orderstatus = 'F', 'success', 'failed') AS status", "CAST(o_orderdate AS TIMESTAMP_NTZ) AS requested_end", "CAST(o_orderdate AS TIMESTAMP_NTZ) + make_dt_interval(CAST(o_orderkey % 4 AS INT)) AS finished_at")
+    return late.latest_watermark(runs)
+
+
+@query(f"SELECT raw_payload_hash, CASE WHEN observed_at >= TIMESTAMP '{NOW}' - INTERVAL 24 HOUR THEN 'lookback' ELSE 'backfill' END AS part, TIMESTAMP '{NOW}' - INTERVAL 24 HOUR AS range_start, TIMESTAMP '{NOW}' AS range_end FROM aq_first")
+def late_split(v):
+    recent, rest = late.split_by_lookback(v.aq_first, now(), 24)
+    low, high = late.lookback_range(now(), 24)
+    part = lambda rows, name: rows.select("raw_payload_hash", F.lit(name).alias("part"), low.alias("range_start"), high.alias("range_end"))
+    return part(recent, "lookback").unionByName(part(rest, "backfill"))
+
+
+@query(f"SELECT raw_payload_hash, sha256('openaq|' || station_id || '|' || sensor_id || '|' || pollutant || '|' || {_ISO}) AS own_key, md5('https://api.test/v3?id=' || raw_payload_hash) AS cache_key, strftime(observed_at, 'year=%Y/month=%m/day=%d/hour=%H') AS hour_path, observed_at - INTERVAL 3 DAY AS days_before FROM aq_first")
+def connector_keys(v):
+    t = F.col("observed_at")
+    own = S.connector_key("openaq", F.col("station_id"), F.col("sensor_id"), F.col("pollutant"), S.iso_utc(t))
+    url = F.concat(F.lit("https://api.test/v3?id="), F.col("raw_payload_hash"))
+    return v.aq_first.select("raw_payload_hash", own.alias("own_key"), S.url_cache_key(url).alias("cache_key"), S.hour_path(t).alias("hour_path"), S.days_ago(t, 3).alias("days_before"))
+
+
+# Landed payloads, partitions, quarantine
+@query("SELECT source, station_id, sensor_id, pollutant, value, unit, date_trunc('second', observed_at) AS observed_at FROM (SELECT *, CASE WHEN unit = 'mg/m³' THEN value * 1000.0 ELSE value END AS v FROM aq_first) WHERE CAST(station_id AS INT) <> 0 AND CAST(sensor_id AS BIGINT) <> 0 AND value IS NOT NULL".replace("pollutant, value, unit", "pollutant, v AS value, CASE WHEN unit = 'mg/m³' THEN 'µg/m³' ELSE unit END AS unit"))
+def parse_openaq(v):
+    result = "named_struct('location', named_struct('id', CAST(station_id AS BIGINT)), 'sensor', named_struct('id', CAST(sensor_id AS BIGINT)), 'parameter', named_struct('id', upper(pollutant)), 'value', value, 'unit', unit, 'date', named_struct('utc', date_format(observed_at, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")))"
+    page = v.aq_first.selectExpr("CAST(raw_payload_hash AS BIGINT) DIV 50 AS page", f"{result} AS result").groupBy("page").agg(F.collect_list("result").alias("results"))
+    payloads = page.select(F.to_json(F.struct("results")).alias("payload"), now().alias("ingested_at"))
+    return landing.parse_measurements(payloads).drop("ingested_at", "raw_payload_hash")
+
+
+@query("SELECT source, location_id, date_trunc('minute', observed_at) AS observed_at, temperature_c, humidity_pct, wind_speed_kmh, wind_direction_deg, pressure_hpa, precipitation_mm, cloud_cover_pct FROM wx WHERE temperature_c BETWEEN -60 AND 60 AND humidity_pct BETWEEN 0 AND 100 AND wind_speed_kmh BETWEEN 0 AND 200 AND wind_direction_deg BETWEEN 0 AND 360 AND pressure_hpa BETWEEN 900 AND 1100 AND precipitation_mm BETWEEN 0 AND 1000 AND cloud_cover_pct BETWEEN 0 AND 100")
+def parse_open_meteo(v):
+    hour = F.struct(F.date_format("observed_at", "yyyy-MM-dd'T'HH:mm").alias("time"), *landing.HOURLY_COLUMNS.values())
+    page = v.wx.withColumn("page", F.expr("CAST(raw_payload_hash AS BIGINT) DIV 50")).groupBy("location_id", "page").agg(F.collect_list(hour).alias("h"))
+    arrays = F.struct(F.col("h.time").alias("time"), *(F.col(f"h.{b}").alias(a) for a, b in landing.HOURLY_COLUMNS.items()))
+    payloads = page.select("location_id", F.to_json(F.struct(arrays.alias("hourly"))).alias("payload"), now().alias("ingested_at"))
+    return landing.parse_hourly_weather(payloads).drop("ingested_at", "raw_payload_hash")
+
+
+@query("SELECT source, station_id, sensor_id, pollutant, value, unit, observed_at, ingested_at, raw_payload_hash, 'run-1' AS run_id FROM aq_first WHERE observed_at >= TIMESTAMP '2024-01-05' AND observed_at < TIMESTAMP '2024-01-08' AND value IS NOT NULL")
+def scan_partition_range(v):
+    root = landing.landing_dir(v.spark, "raw")
+    landing.write_raw(v.aq_first.where("value is not null"), root, "air_quality", "run-1")
+    return landing.read_raw(v.spark, root, "air_quality", date(2024, 1, 5), date(2024, 1, 7))
+
+
+@query("SELECT raw_payload_hash, class, CAST(len(warnings) + CASE WHEN failure IS NULL THEN 0 ELSE 1 END AS INT) AS reasons FROM classified WHERE class = 'SUSPICIOUS'")
+def quarantine_roundtrip(v):
+    root = landing.landing_dir(v.spark, "quarantine")
+    landing.quarantine(v.classified, root)
+    return landing.read_quarantine(v.spark, root, "suspicious").select("raw_payload_hash", "class", F.size("reasons").alias("reasons"))
+
+
+@query("SELECT raw_payload_hash, value FROM aq_first WHERE CAST(raw_payload_hash AS BIGINT) % 3 <> 0")
+def control_plane_upsert(v):
+    rows = v.aq_first.select("raw_payload_hash", "value")
+    return landing.upsert_new(rows.where("CAST(raw_payload_hash AS BIGINT) % 3 = 0"), rows.unionByName(rows), ["raw_payload_hash"])
+
+
 # Sorts and limits
 @query("SELECT * FROM anomalies ORDER BY location_id, pollutant, hour_start")
 def sort_anomalies(v):
@@ -707,14 +832,30 @@ def srv_locations(v):
     return serving.locations(v.locations, v.stations, v.aq_mapped)
 
 
-@query("SELECT location_id, pollutant, max(hour_start) AS hour_start, arg_max(observed_value, hour_start) AS observed_value, arg_max(historical_median, hour_start) AS historical_median, arg_max(robust_z, hour_start) AS robust_z, arg_max(severity, hour_start) AS severity FROM anomalies WHERE location_id = 'loc2' GROUP BY ALL")
+_AGE = f"CAST(floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us({{}})) / 60000000.0) AS BIGINT)"
+
+
+@query(f"""SELECT x.*, b.p95, w.* EXCLUDE (location_id), 'µg/m³' AS unit, abs(robust_z) AS anomaly_score, CASE WHEN severity IN ('SEVERE', 'EXTREME') THEN 'SUSPICIOUS' ELSE 'VALID' END AS quality_flag, {_AGE.format("hour_start")} AS data_age_minutes, 60 AS expected_interval_minutes,
+CASE WHEN {_AGE.format("hour_start")} <= 60 THEN 'fresh' WHEN {_AGE.format("hour_start")} <= 1440 THEN 'stale' ELSE 'missing' END AS freshness
+FROM (SELECT location_id, pollutant, max(hour_start) AS hour_start, arg_max(observed_value, hour_start) AS observed_value, arg_max(historical_median, hour_start) AS historical_median, arg_max(robust_z, hour_start) AS robust_z, arg_max(severity, hour_start) AS severity FROM anomalies WHERE location_id = 'loc2' GROUP BY ALL) x
+LEFT JOIN month_baselines b USING (location_id, pollutant) LEFT JOIN (SELECT location_id, max(observed_at) AS weather_at, arg_max(temperature_c, observed_at) AS temperature_c, arg_max(humidity_pct, observed_at) AS humidity_pct, arg_max(wind_speed_kmh, observed_at) AS wind_speed_kmh, arg_max(wind_direction_deg, observed_at) AS wind_direction_deg FROM wx_first GROUP BY ALL) w USING (location_id)""".replace("b.p95, w.*", "b.p95, w.*"))
 def srv_current(v):
-    return serving.current(v.anomalies, "loc2")
+    return serving.current(v.anomalies, v.month_baselines, v.wx_first, "loc2", now())
 
 
-@query("SELECT location_id, pollutant, date_trunc('day', observed_at) AS bucket, round(avg(value_ug), 6) AS mean_value, round(quantile_cont(value_ug, 0.5), 6) AS median_value, min(value_ug) AS min_value, max(value_ug) AS max_value, count(*) AS n FROM aq_mapped WHERE location_id = 'loc1' AND pollutant = 'pm25' AND observed_at >= TIMESTAMP '2024-01-03' AND observed_at < TIMESTAMP '2024-01-11' GROUP BY ALL")
+def _history(unit: str, hours: float, baselines_sql: str, on: str) -> str:
+    rows = f"SELECT location_id, pollutant, date_trunc('{unit}', observed_at) AS bucket, round(avg(value_ug), 6) AS mean_value, round(quantile_cont(value_ug, 0.5), 6) AS median_value, min(value_ug) AS min_value, max(value_ug) AS max_value, count(*) AS n, round(count(DISTINCT date_trunc('hour', observed_at)) * 100.0 / {hours}::DOUBLE, 6) AS coverage_pct FROM aq_mapped WHERE location_id = 'loc1' AND pollutant = 'pm25' AND observed_at >= TIMESTAMP '2024-01-03' AND observed_at < TIMESTAMP '2024-01-11' GROUP BY ALL"
+    return f"SELECT h.*, b.historical_median AS baseline_median FROM ({rows}) h LEFT JOIN ({baselines_sql}) b ON h.location_id = b.location_id AND h.pollutant = b.pollutant AND month(h.bucket) = b.month{on}"
+
+
+@query(_history("day", 24.0, f"SELECT location_id, pollutant, month(hour_start) AS month, {STATS} FROM hourly GROUP BY ALL", ""))
 def srv_history(v):
-    return serving.history(v.aq_mapped, "loc1", "pm25", "2024-01-03", "2024-01-10", "daily").withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
+    return serving.history(v.aq_mapped, "loc1", "pm25", "2024-01-03", "2024-01-10", "daily", baselines.monthly_baselines(v.hourly))
+
+
+@query(_history("hour", 1.0, "SELECT * FROM hour_baselines", " AND hour(h.bucket) = b.hour_of_day"))
+def srv_history_hourly(v):
+    return serving.history(v.aq_mapped, "loc1", "pm25", "2024-01-03", "2024-01-10", "hourly", v.hour_baselines)
 
 
 @query("SELECT location_id, pollutant, CAST(h AS INT) AS horizon_minutes, max(hour_start) AS made_at, arg_max(value, hour_start) AS prediction, greatest(0.65, 1 - h / 1000.0)::DOUBLE AS confidence_score FROM hourly, unnest([60, 180, 360]) t(h) WHERE location_id = 'loc1' GROUP BY location_id, pollutant, h")
@@ -733,14 +874,23 @@ def srv_baseline(v):
     return serving.baseline(baselines.hourly_baselines(v.hourly), "loc1", "pm25", 1, 0)
 
 
-@query(f"SELECT age AS data_age_minutes, rate AS rejection_rate, CASE WHEN age <= 10 THEN 'fresh' ELSE 'stale' END AS freshness, CASE WHEN age <= 10 AND rate < 0.1 THEN 'healthy' ELSE 'degraded' END AS status FROM (SELECT round((epoch_us(TIMESTAMP '{NOW}') - epoch_us(max(ingested_at))) / 60000000.0, 2) AS age, round(count(*) FILTER (class = 'INVALID') / count(*), 6) AS rate FROM classified)")
+_STATUS = "CASE WHEN {} THEN 'healthy' ELSE 'degraded' END"
+
+
+@query(f"""SELECT *, CASE WHEN ingestion_status = 'healthy' AND quality_status = 'healthy' AND model_status = 'healthy' THEN 'healthy' ELSE 'degraded' END AS system_status FROM (
+SELECT q.*, w.*, m.*, {_STATUS.format("openaq_freshness_minutes <= 10 AND weather_freshness_minutes <= 10")} AS ingestion_status, {_STATUS.format("rejection_rate_pct < 10")} AS quality_status, {_STATUS.format("model_mae IS NOT NULL")} AS model_status
+FROM (SELECT age AS openaq_freshness_minutes, records_24h, rejected_24h, coalesce(round(rejected_24h * 100.0 / nullif(records_24h, 0), 6), 0.0) AS rejection_rate_pct FROM (SELECT {_AGE.format("max(ingested_at)")} AS age, count(*) FILTER (ingested_at >= TIMESTAMP '{NOW}' - INTERVAL 24 HOUR) AS records_24h, count(*) FILTER (ingested_at >= TIMESTAMP '{NOW}' - INTERVAL 24 HOUR AND class = 'INVALID') AS rejected_24h FROM classified)) q,
+(SELECT {_AGE.format("max(ingested_at)")} AS weather_freshness_minutes FROM wx) w, (SELECT arg_min(model, mae) AS production_model, min(mae) AS model_mae FROM ({_EVALS})) m)""")
 def srv_health(v):
-    return serving.system_health(v.classified, now())
+    return serving.system_health(v.classified, v.wx, _evals(v), now())
 
 
-@query("SELECT CASE WHEN grouping(source) = 1 AND grouping(location_id) = 1 THEN 'all' WHEN grouping(location_id) = 1 THEN 'source' ELSE 'location' END AS scope, coalesce(source, location_id) AS name, count(*) AS records, count(*) FILTER (class = 'VALID') AS valid, count(*) FILTER (class = 'SUSPICIOUS') AS suspicious, count(*) FILTER (class = 'INVALID') AS invalid, round(count(*) FILTER (class = 'VALID') * 100.0 / count(*), 6) AS valid_pct FROM (SELECT c.source, c.class, coalesce(s.location_id, 'UNMAPPED') AS location_id FROM classified c LEFT JOIN stations s USING (source, station_id)) GROUP BY GROUPING SETS ((), (source), (location_id))")
+@query("""SELECT *, CASE WHEN health_score >= 80 THEN 'healthy' WHEN health_score >= 50 THEN 'degraded' WHEN health_score IS NOT NULL THEN 'offline' END AS health FROM (SELECT *, CASE WHEN scope = 'station' THEN round(greatest(0.0, valid_pct - (100 - coverage_pct)), 6) END AS health_score FROM (
+SELECT CASE WHEN grouping(source) = 0 THEN 'source' WHEN grouping(location_id) = 0 THEN 'location' WHEN grouping(station_id) = 0 THEN 'station' ELSE 'all' END AS scope, coalesce(source, location_id, station_id) AS name, count(*) AS records, count(*) FILTER (class = 'VALID') AS valid, count(*) FILTER (class = 'SUSPICIOUS') AS suspicious, count(*) FILTER (class = 'INVALID') AS invalid, round(count(*) FILTER (class = 'VALID') * 100.0 / count(*), 6) AS valid_pct,
+round(least(100.0, count(DISTINCT date_trunc('hour', observed_at)) * 100.0::DOUBLE / 720), 6) AS coverage_pct
+FROM (SELECT c.source, c.station_id, c.class, c.observed_at, coalesce(s.location_id, 'UNMAPPED') AS location_id FROM classified c LEFT JOIN stations s USING (source, station_id)) GROUP BY GROUPING SETS ((), (source), (location_id), (station_id))))""")
 def srv_quality(v):
-    return serving.quality_report(facts.with_location(v.classified, F.broadcast(v.stations)).select("source", "location_id", "class"))
+    return serving.quality_report(facts.with_location(v.classified, v.stations).select("source", "location_id", "station_id", "observed_at", "class"), 720)
 
 
 @query("SELECT source, location_id, hour_start, round(((degrees(atan2(avg(sin(radians(wind_direction_deg))), avg(cos(radians(wind_direction_deg))))) + 360) % 360 + 360) % 360, 6) AS wind_direction_circular FROM wx_first GROUP BY ALL")

@@ -56,11 +56,11 @@ class Views:
     def locations(self) -> DataFrame:
         """Location 4 has no city on purpose."""
         names = self.table("nation").where("n_nationkey < 4").selectExpr("concat('loc', CAST(n_nationkey AS STRING)) AS location_id", "n_name AS city")
-        return self.stations.select("location_id").distinct().join(F.broadcast(names), "location_id", "left")
+        return self.stations.select("location_id").distinct().join(names, "location_id", "left")
 
     @cached_property
     def aq_mapped(self) -> DataFrame:
-        return facts.with_location(self.aq_clean, F.broadcast(self.stations))
+        return facts.with_location(self.aq_clean, self.stations)
 
     @cached_property
     def aq_hourly(self) -> DataFrame:
@@ -96,9 +96,17 @@ class Views:
     def month_baselines(self) -> DataFrame:
         return baselines.robust_baselines(self.hourly, ["location_id", "pollutant"])
 
+    @cached_property
+    def hour_baselines(self) -> DataFrame:
+        return baselines.hourly_baselines(self.hourly)
+
+    @cached_property
+    def mart(self) -> DataFrame:
+        return facts.with_baselines(self.aq_hourly, self.stations, self.hour_baselines)
+
     @cached_property
     def citywide(self) -> DataFrame:
-        return baselines.robust_baselines(self.hourly, ["pollutant"])
+        return baselines.wide_baselines(self.hourly, ["pollutant"])
 
     @cached_property
     def anomalies(self) -> DataFrame:
@@ -118,6 +126,10 @@ _STATS = "count(*) AS n, round(quantile_cont(value, 0.5), 6) AS historical_media
 SEVERITY = "CASE WHEN robust_z IS NULL THEN 'NORMAL' WHEN abs(robust_z) >= 5 THEN 'EXTREME' WHEN abs(robust_z) >= 4 THEN 'SEVERE' WHEN abs(robust_z) >= 3 THEN 'HIGH' WHEN abs(robust_z) >= 2 THEN 'ELEVATED' ELSE 'NORMAL' END"
 
 
+def dec2(x: str, precision: int) -> str:
+    return f"CAST(CAST(round({x}, 6) AS DECIMAL(24,6)) AS DECIMAL({precision},2))"
+
+
 def z_sql(x: str, m: str = "historical_median", d: str = "mad") -> str:
     return f"round(CASE WHEN {d} = 0 THEN CASE WHEN {m} = 0 THEN CASE WHEN abs({x}) > 100 THEN 5.0 ELSE 0.0 END WHEN {x} / {m} >= 2 THEN 3.0 WHEN {x} / {m} <= 0.5 THEN -3.0 ELSE 0.0 END ELSE ({x} - {m}) / (1.4826 * {d}) END, 6)"
 
@@ -135,7 +147,7 @@ stations AS (SELECT DISTINCT source, station_id, 'loc' || CAST(CAST(station_id A
 locations AS (SELECT s.location_id, n.n_name AS city FROM (SELECT DISTINCT location_id FROM stations) s LEFT JOIN nation n ON s.location_id = 'loc' || n.n_nationkey AND n.n_nationkey < 4),
 aq_mapped AS (SELECT c.*, coalesce(s.location_id, 'UNMAPPED') AS location_id FROM aq_clean c LEFT JOIN stations s USING (source, station_id)),
 aq_hourly AS (SELECT source, station_id, pollutant, date_trunc('hour', observed_at) AS hour_start, count(*) AS observation_count, count(DISTINCT raw_payload_hash) AS unique_records, round(avg(value_ug), 6) AS mean_value,
-  round(quantile_cont(value_ug, 0.5), 6) AS median_value, min(value_ug) AS min_value, max(value_ug) AS max_value, round(stddev_pop(value_ug), 6) AS stddev_value, count(*) FILTER (value_ug > 0) AS positive_count FROM aq_clean GROUP BY ALL),
+  {dec2("quantile_cont(value_ug, 0.5)", 10)} AS median_value, min(value_ug) AS min_value, max(value_ug) AS max_value, {dec2("stddev_pop(value_ug)", 10)} AS stddev_value, count(*) FILTER (value_ug > 0) AS positive_count FROM aq_clean GROUP BY ALL),
 loc_hourly AS (SELECT location_id, pollutant, date_trunc('hour', observed_at) AS hour_start, count(*) AS n, count(DISTINCT station_id) AS active_stations, round(quantile_cont(value_ug, 0.25), 6) AS p25,
   round(quantile_cont(value_ug, 0.5), 6) AS median_value, round(quantile_cont(value_ug, 0.75), 6) AS p75, round(avg(value_ug), 6) AS mean_value, max(value_ug) AS max_value, min(value_ug) AS min_value FROM aq_mapped WHERE location_id <> 'UNMAPPED' GROUP BY ALL),
 hourly AS (SELECT location_id, pollutant, hour_start, median_value AS value FROM loc_hourly),
@@ -146,6 +158,9 @@ wx_dedup AS (SELECT * FROM wx WHERE temperature_c IS NOT NULL QUALIFY row_number
 wx_first AS (SELECT *, date_trunc('hour', observed_at) AS hour_start FROM wx_dedup WHERE humidity_pct <= 100 QUALIFY row_number() OVER (PARTITION BY source, location_id, date_trunc('hour', observed_at) ORDER BY observed_at, raw_payload_hash) = 1),
 wx_hours AS (SELECT location_id, hour_start, temperature_c AS temperature, humidity_pct AS humidity, wind_speed_kmh AS wind_speed, pressure_hpa AS pressure, wind_direction_deg AS wind_direction FROM wx_first),
 month_baselines AS (SELECT location_id, pollutant, {_STATS} FROM hourly GROUP BY ALL),
+hour_baselines AS (SELECT location_id, pollutant, CAST(month(hour_start) AS INT) AS month, CAST(hour(hour_start) AS INT) AS hour_of_day, {_STATS} FROM hourly GROUP BY ALL),
+mart AS (SELECT a.*, s.location_id, b.historical_median, b.mad, b.p90, b.p95, b.p99 FROM aq_hourly a JOIN stations s USING (source, station_id)
+  LEFT JOIN hour_baselines b ON s.location_id = b.location_id AND a.pollutant = b.pollutant AND month(a.hour_start) = b.month AND hour(a.hour_start) = b.hour_of_day),
 citywide AS (SELECT pollutant, {_STATS} FROM hourly GROUP BY ALL),
 zs AS (SELECT h.location_id, h.pollutant, h.hour_start, h.max_value AS observed_value, b.historical_median, b.mad, {z_sql("h.max_value")} AS robust_z FROM loc_hourly h LEFT JOIN month_baselines b USING (location_id, pollutant)),
 anomalies AS (SELECT *, {SEVERITY} AS severity, CASE WHEN historical_median IS NULL THEN 'no_baseline_available' END AS reason FROM zs),

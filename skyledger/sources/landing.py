@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +64,14 @@ def write_raw(df: DataFrame, root: str, kind: str, run_id: str, mode: str = "app
     out.repartition(*days).write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*days).parquet(root)
 
 
+def landing_dir(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share: beneath ``spark.checkpoint.dir``, else the warehouse. It goes when the driver's JVM ends."""
+    root = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/landing-{name}-{uuid.uuid4().hex}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return path.toString()
+
+
 def read_raw(spark: SparkSession, root: str, kind: str, start: date, end: date) -> DataFrame:
     """Daily partitions of a closed range. The filter is on partition columns, so other days aren't listed or read."""
     schema = AIR_QUALITY if kind == "air_quality" else WEATHER

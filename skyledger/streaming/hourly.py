@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,22 +24,27 @@ def hourly_facts(stream: DataFrame, delay: str = "6 hours") -> DataFrame:
 
 
 def rewrite_affected_hours(root: str):
-    """A foreachBatch function that recomputes the whole hours a batch touches: twice the same batch, once the result."""
+    """A foreachBatch function that recomputes the whole hours a batch touches: twice the same batch, once the result.
+
+    A batch has few days, which are collected so that they prune the partitions of the stored history: nothing else of it is listed or read.
+    """
 
     def run(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         raw = f"{root}/raw"
         days = [F.date_format("observed_at", "yyyy-MM-dd").alias("day")]
         keyed = batch.withColumn("measurement_key", measurement_key()).dropDuplicates(["measurement_key"]).select("*", *days)
+        touched = [r.day for r in keyed.select("day").where("day is not null").distinct().collect()]
+        if not touched:
+            return
+        of_days = lambda: spark.read.schema(keyed.schema).parquet(raw).where(F.col("day").isin(touched))
         try:
-            stored = spark.read.parquet(raw)
-            keyed = keyed.join(stored.select("measurement_key"), "measurement_key", "left_anti")
-        except Exception as e:  # nothing has been stored yet
-            if "PATH_NOT_FOUND" not in str(e):
+            keyed = keyed.join(of_days().select("measurement_key"), "measurement_key", "left_anti")
+        except AnalysisException as e:  # nothing has been stored yet
+            if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-        keyed.write.mode("append").partitionBy("day").parquet(raw)
-        touched = batch.select(*days).distinct()
-        all_rows = spark.read.parquet(raw).join(touched, "day", "left_semi")
+        keyed.where("day is not null").write.mode("append").partitionBy("day").parquet(raw)
+        all_rows = of_days()
         value = F.col("value") * factor_sql_units(F.col("unit"))
         facts = all_rows.groupBy("day", "source", "station_id", "pollutant", F.date_trunc("hour", "observed_at").alias("hour_start")).agg(F.count(F.lit(1)).alias("observation_count"), F.avg(value).alias("mean_value"))
         facts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{root}/hourly_facts")
