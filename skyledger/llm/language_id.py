@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from .piece_trie import SPACE, VOCABULARY, PieceTrie, build_trie, char_bytes, matches, padded
+from .piece_trie import VOCABULARY, PieceTrie, build_trie, char_bytes, marked, matches
 from .scratch import Scratch, add_columns, share
 
 SAMPLE_PER_LANGUAGE = 400
 ROUNDS = 3
 SMOOTHING = 0.05
 OTHER_CHARACTER = -16.0  # log probability, in every language
+DEEPEST = 600.0  # logarithm of the smallest probability that is summed as it is
 LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST_WORD = 200  # characters; a longer run of letters is scored as consecutive words of this length
 CACHE = 200_000
@@ -60,7 +61,7 @@ def batches_of(words: list[str]) -> Iterator[list[str]]:
 
 def _edges(trie: PieceTrie, words: list[str]):
     """Start by start: (start, rows, ends, pieces) of all pieces in the words, piece -1 for a lone character without one."""
-    m, lengths = padded([(SPACE + w).encode() for w in words])
+    m, lengths = marked(words)
     reached = np.zeros(m.shape, bool)
     reached[:, 0] = True
     edges = []
@@ -83,30 +84,54 @@ def _edges(trie: PieceTrie, words: list[str]):
 
 
 def forward(trie: PieceTrie, log_p: np.ndarray, words: list[str]) -> tuple[np.ndarray, tuple]:
-    """Log of the summed probability of all segmentations (word x language), and what a backward pass needs."""
+    """Log of the summed probability of all segmentations (word x language), and what a backward pass needs.
+
+    Short words are summed as probabilities, long ones, whose probabilities would underflow, as their logarithms.
+    """
     shape, lengths, edges = _edges(trie, words)
     table = np.vstack([log_p, np.full((1, log_p.shape[1]), OTHER_CHARACTER)])  # row -1
-    alpha = np.full((*shape, log_p.shape[1]), -np.inf)
-    alpha[:, 0] = 0
-    for s, r, end, ids in edges:
-        alpha[r, end] = np.logaddexp(alpha[r, end], alpha[r, s] + table[ids])
-    return alpha[np.arange(len(words)), lengths], (alpha, lengths, edges, table)
+    usable = table[np.isfinite(table)]
+    plain = shape[1] * -usable.min(initial=OTHER_CHARACTER) < DEEPEST
+    if plain:
+        table = np.exp(table)
+        alpha = np.zeros((*shape, log_p.shape[1]))
+        alpha[:, 0] = 1
+        for s, r, end, ids in edges:
+            alpha[r, end] += alpha[r, s] * table[ids]
+    else:
+        alpha = np.full((*shape, log_p.shape[1]), -np.inf)
+        alpha[:, 0] = 0
+        for s, r, end, ids in edges:
+            alpha[r, end] = np.logaddexp(alpha[r, end], alpha[r, s] + table[ids])
+    total = alpha[np.arange(len(words)), lengths]
+    with np.errstate(divide="ignore"):
+        return np.log(total) if plain else total, (alpha, lengths, edges, table, plain)
 
 
 def expected_counts(trie: PieceTrie, log_p: np.ndarray, words: list[str], counts: np.ndarray) -> np.ndarray:
     """Expected uses of each piece (piece x language) for word counts (word x language)."""
-    total, (alpha, lengths, edges, table) = forward(trie, log_p, words)
-    beta = np.full(alpha.shape, -np.inf)
-    beta[np.arange(len(words)), lengths] = 0
-    out = np.zeros_like(table)
-    for s, r, end, ids in reversed(edges):
-        step = table[ids] + beta[r, end]
-        uses = np.exp(np.minimum(alpha[r, s] + step - total[r], 0)) * counts[r]
-        at, back = np.unique(ids, return_inverse=True)
-        for c in range(out.shape[1]):
-            out[at, c] += np.bincount(back, uses[:, c], len(at))
-        beta[r, s] = np.logaddexp(beta[r, s], step)
-    return out[:-1]
+    _, (alpha, lengths, edges, table, plain) = forward(trie, log_p, words)
+    last = np.arange(len(words)), lengths
+    used, at = [], []
+    if plain:
+        beta = np.zeros(alpha.shape)
+        beta[last] = counts / np.maximum(alpha[last], np.finfo(float).tiny)
+        for s, r, end, ids in reversed(edges):
+            step = table[ids] * beta[r, end]
+            used.append(alpha[r, s] * step)
+            at.append(ids)
+            beta[r, s] += step
+    else:
+        beta = np.full(alpha.shape, -np.inf)
+        beta[last] = 0
+        total = alpha[last]
+        for s, r, end, ids in reversed(edges):
+            step = table[ids] + beta[r, end]
+            used.append(np.exp(np.minimum(alpha[r, s] + step - total[r], 0)) * counts[r])
+            at.append(ids)
+            beta[r, s] = np.logaddexp(beta[r, s], step)
+    flat, ids = np.concatenate(used), np.concatenate(at) + 1  # the lone character without a piece first
+    return np.stack([np.bincount(ids, flat[:, c], len(table))[1:] for c in range(table.shape[1])], axis=1)
 
 
 def learned(counted: DataFrame, trie: PieceTrie, classes: int) -> np.ndarray:

@@ -92,6 +92,21 @@ def padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(w.ljust(width + 1, b"\0") for w in words), np.uint8).reshape(len(words), width + 1), lengths
 
 
+def marked(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of words with a marker before each as a matrix, zero beyond each end, and their lengths."""
+    text, mark = "\0".join(words), SPACE.encode()
+    if text.count("\0") != len(words) - 1:  # a word holds the separator itself
+        return padded([mark + w.encode() for w in words])
+    b = np.frombuffer(f"\0{text}\0".encode(), np.uint8)
+    ends = np.flatnonzero(b == 0)
+    starts, sizes = ends[:-1] + 1, np.diff(ends) - 1
+    at = np.arange(int(sizes.max()))
+    m = np.zeros((len(words), len(mark) + len(at) + 1), np.uint8)
+    m[:, : len(mark)] = np.frombuffer(mark, np.uint8)
+    m[:, len(mark) : -1] = np.where(at < sizes[:, None], b[np.minimum(starts[:, None] + at, len(b) - 1)], 0)
+    return m, sizes + len(mark)
+
+
 def char_bytes(first: np.ndarray) -> np.ndarray:
     """Length of the UTF-8 character that begins with each byte; 0 for a continuation byte."""
     return np.select([first < 0x80, first < 0xC0, first < 0xE0, first < 0xF0], [1, 0, 2, 3], 4)

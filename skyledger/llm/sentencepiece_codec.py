@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType
 
 from .language_id import learned
-from .piece_trie import SPACE, VOCABULARY, PieceTrie, build_trie, char_bytes, matches, padded
+from .piece_trie import SPACE, VOCABULARY, PieceTrie, build_trie, char_bytes, marked, matches
 from .scratch import Scratch, add_columns, share
 
-CACHE = 300_000  # remembered runs of each worker; it starts anew beyond
+CACHE = 500_000  # remembered runs of each worker; it starts anew beyond
 LONG_RUN = 256  # bytes; longer runs are solved one at a time
 SLAB = 1 << 20
 RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -67,11 +67,8 @@ def learned_scores(docs: DataFrame, text_col: str, trie: PieceTrie) -> np.ndarra
     return np.where(np.isfinite(log_p), log_p, log_p[np.isfinite(log_p)].min())
 
 
-def viterbi(trie: PieceTrie, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the best segmentation of each run, one after the other, and the bounds of each; of equal ones, the one found from the earliest start."""
-    if not runs:
-        return np.zeros(0, np.int32), np.zeros(1, np.int64)
-    m, lengths = padded(runs)
+def viterbi(trie: PieceTrie, m: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the best segmentation of each run of bytes, one after the other, and the bounds of each; of equal ones, the one found from the earliest start."""
     n, width = m.shape
     best = np.full((n, width), -np.inf)
     best[:, 0] = 0
@@ -123,25 +120,25 @@ class Encoder:
         self.trie, self.known = trie, {}
 
     def learn(self, runs: set[str]) -> None:
-        new = sorted(runs - self.known.keys(), key=len)
+        """Solves new runs; if there is no room for them beside the known ones, these are forgotten and all are solved."""
+        new = runs - self.known.keys()
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
-            new = sorted(runs, key=len)
+            new = runs
+        new = sorted(new, key=len)
         at = 0
         while at < len(new):
             width = 4 * len(new[min(at + 20_000, len(new)) - 1]) + 4
             count = 1 if 4 * len(new[at]) > LONG_RUN else max(1, min(20_000, SLAB // width))
             part = new[at : at + count]
-            ids, cuts = viterbi(self.trie, [(SPACE + r).encode() for r in part])
+            ids, cuts = viterbi(self.trie, *marked(part))
             flat, at_byte = ids.tobytes(), (4 * cuts).tolist()
             self.known.update(zip(part, (flat[a:z] for a, z in pairwise(at_byte)), strict=True))
             at += count
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         runs = [None if t is None else runs_of(t) for t in texts]
-        distinct = set().union(*(r for r in runs if r))
-        if not distinct <= self.known.keys():
-            self.learn(distinct)
+        self.learn(set().union(*(r for r in runs if r)))
         known = self.known.__getitem__
         return [None if r is None else np.frombuffer(b"".join(map(known, r)), np.int32) for r in runs]
 
@@ -186,7 +183,7 @@ def encode(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY
 
     added = {"ids": ArrayType(IntegerType()), "n_ids": IntegerType()} | ({"restored": BooleanType()} if restore else {})
     taken = {c.lower() for c in kept}
-    return add_columns(docs, [F.col(f"`{text_col}`")], kept, {(c if c not in taken else f"piece_{c}"): kind for c, kind in added.items()}, start, 1024)
+    return add_columns(docs, [F.col(f"`{text_col}`")], kept, {(c if c not in taken else f"piece_{c}"): kind for c, kind in added.items()}, start, 2048)
 
 
 def decode(tokens: DataFrame, ids_col: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm import cover_tree, html_extract, language_id, license_scan, ngram_join, poisson_mix, quality_gam, queries, sentencepiece_codec, url_filter, va_search
 from skyledger.llm.components import connected_components
-from skyledger.llm.piece_trie import SPACE, VOCABULARY, build_trie
+from skyledger.llm.piece_trie import SPACE, VOCABULARY, build_trie, padded
 from skyledger.llm.scratch import Scratch
 
 from ..conftest import DATA
@@ -183,7 +183,7 @@ def test_viterbi_equals_brute_force():
         return 0.0 if not word else max((trie.scores[ids[word[:n]]] + best(word[n:]) for n in range(1, len(word) + 1) if word[:n] in ids), default=-np.inf)
 
     for word in ["▁the", "▁street", "▁retina", "▁abcabc"]:
-        assert sum(trie.scores[i] for i in sentencepiece_codec.viterbi(trie, [word.encode()])[0]) == best(word)
+        assert sum(trie.scores[i] for i in sentencepiece_codec.viterbi(trie, *padded([word.encode()]))[0]) == best(word)
 
 
 def test_forward_sums_all_segmentations():
