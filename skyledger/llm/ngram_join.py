@@ -221,13 +221,13 @@ def _links(sets: DataFrame, posts: DataFrame, texts: DataFrame, limit: Threshold
         block = posts.select("gram", "s").join(labels, "s")
         rank = F.struct("own_share", "s") if turn == 0 else F.struct(F.xxhash64("s", F.lit(turn)), "s")
         leaders = (block.join(chosen.select("s", "own_share"), "s") if turn == 0 else block).groupBy("gram").agg(F.min_by("s", rank).alias("a"), F.min("part").alias("lo"), F.max("part").alias("hi"))
-        mixed = leaders.where("lo < hi")
+        # Written, so that in the joins below a hot n-gram's rows can be split among tasks.
+        lead = scratch.save(leaders.where("lo < hi").select("gram", "a").join(labels.select(F.col("s").alias("a"), F.col("part").alias("a_part")), "a"))
         if stars:
-            lead = mixed.select("gram", "a").join(labels.select(F.col("s").alias("a"), F.col("part").alias("a_part")), "a")
             pairs = block.join(lead, "gram").where("part <> a_part").select("a", F.col("s").alias("b")).distinct()
             pairs = pairs.join(side(digests, "a"), "a").join(side(digests, "b"), "b")
         else:
-            rest = scratch.save(block.join(mixed.select("gram"), "gram").join(digests, "s"))
+            rest = scratch.save(block.join(lead.select("gram"), "gram").join(digests, "s"))
             ends = lambda c: rest.select("gram", F.col("s").alias(c), F.col("part").alias(f"{c}_part"), *(F.col(x).alias(f"{c}_{x}") for x in ("n", *parity)))  # noqa: E731, B023
             pairs = ends("a").join(ends("b"), "gram").where("a < b and a_part <> b_part")
         pairs = pairs.where(bounds).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), differing.alias("gap"), F.col("b").alias("own")).distinct()
@@ -244,6 +244,7 @@ def _links(sets: DataFrame, posts: DataFrame, texts: DataFrame, limit: Threshold
         new = scratch.save(counted.where(f"{den} * both >= {num} * (total - both)").select("a", "b"))
         links = new if links is None else links.unionByName(new)
         tested = pairs if tested is None else tested.unionByName(pairs)
+        scratch.drop(lead)
         old, labels = labels, scratch.save(once.join(connected_components(links, scratch), F.col("s") == F.col("id"), "left").select("s", F.coalesce("component", "s").alias("part")))
         scratch.drop(old)
         if not stars:
