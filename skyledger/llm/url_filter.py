@@ -6,7 +6,8 @@ candidate key for each (label count, path length) that occurs among the rules. C
 eight 32-bit words, one bit in each. Those that hit go to an exact hash join, which removes false positives.
 
 Only DataFrame functions are used. Null URLs and those without ``://`` have an empty host and path, fit no rule and get the
-default verdict. Repeated rows stay; other columns of the table are not read; an empty table gives no rows.
+default verdict. Repeated rows stay, and so do rows without an id; other columns of the table are not read and may have any name; an empty table
+gives no rows. Very long URLs are judged whole. Of rules of one host and path, that with the longest string, then the smallest, counts.
 """
 
 from __future__ import annotations
@@ -14,10 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import Scratch
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 KEYS_PER_BLOCK = 8
 MAX_BLOCKS = 1 << 17  # 131,072 rows of eight words: the most that is broadcast
 BROADCAST_RULES = 100_000
+SALTS_OF_NO_HOST = 1024
 #: Odd multipliers, one for each word of a block.
 SALTS = [2 * i * 0x2C9277B5 % 0x7FFFFFFF | 1 for i in range(1, 9)]
 
@@ -55,6 +59,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url_
     blocks = 1
     while blocks * KEYS_PER_BLOCK < n and blocks < MAX_BLOCKS:
         blocks *= 2
+    # As many as host names have labels times lengths of paths: what URLs allow bounds them, not the number of rules.
     shapes = [(r.labels, r.chars) for r in parsed.select("labels", "chars").distinct().collect()]
 
     urls = pages.select("page_id", host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
@@ -64,8 +69,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url_
 
     bloom = parsed.select(_block(F.col("key"), blocks).alias("block"), *(b.alias(f"w{i}") for i, b in enumerate(_bits(F.col("key"))))).groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(8)))
     count = F.size(F.split("host", r"\."))
-    keys = [F.when((count >= k) & (F.length("path") >= c), _key(F.substring_index("host", ".", -k), F.substring("path", 1, c))) for k, c in shapes]
-    asked = urls.where("host <> ''").select("host", "path").distinct().select("host", "path", F.explode(F.filter(F.array(*keys), lambda x: x.isNotNull())).alias("key"))
+    known = F.array(*(F.struct(F.lit(k).alias("labels"), F.lit(c).alias("chars")) for k, c in sorted(shapes)))  # folded to one constant
+    fitting = F.filter(known, lambda x: (x["labels"] <= count) & (x["chars"] <= F.length("path")))
+    keys = F.transform(fitting, lambda x: _key(F.concat_ws(".", F.slice(F.split("host", r"\."), -x["labels"], x["labels"])), F.substring(F.col("path"), F.lit(1), x["chars"])))
+    asked = urls.where("host <> ''").select("host", "path").distinct().select("host", "path", F.explode(keys).alias("key"))
     asked = asked.withColumn("block", _block(F.col("key"), blocks)).join(F.broadcast(bloom), "block")
     hit = F.lit(True)
     for i, bit in enumerate(_bits(F.col("key"))):
@@ -74,7 +81,11 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url_
     exact = exact.groupBy("key").agg(F.min(F.struct("rule", "verdict", "rank")).alias("x")).select("key", "x.*")
     found = asked.where(hit).select("host", "path", "key").join(F.broadcast(exact) if n <= BROADCAST_RULES else exact, "key")
     best = found.groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), "rank").alias("x")).select("host", "path", "x.rule", "x.verdict")
-    return urls.join(best, ["host", "path"], "left").select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    # URLs without a host are many rows of one key; they are dealt out by a salt. The other side is written first, so that a hot URL can be split among tasks.
+    scratch = Scratch(pages.sparkSession)
+    best = scratch.save(best.withColumn("salt", F.lit(0)))
+    salted = urls.withColumn("salt", F.when(F.col("host") == "", F.pmod(F.xxhash64("page_id"), F.lit(SALTS_OF_NO_HOST)).cast("int")).otherwise(0))
+    return salted.join(best, ["host", "path", "salt"], "left").select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 
 #: Fixed values of the contract.
