@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SETTINGS
@@ -54,4 +54,5 @@ def summary(anomalies: DataFrame) -> DataFrame:
 
 def severity_distribution(anomalies: DataFrame) -> DataFrame:
     counts = anomalies.groupBy("severity").agg(F.count(F.lit(1)).alias("n"))
-    return counts.crossJoin(counts.agg(F.sum("n").alias("_all"))).select("severity", "n", r6(F.col("n") * 100.0 / F.col("_all")).alias("share_pct"))
+    whole = F.sum("n").over(Window.partitionBy(F.lit(0)))  # as many rows as severities
+    return counts.select("severity", "n", r6(F.col("n") * 100.0 / whole).alias("share_pct"))

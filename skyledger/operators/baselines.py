@@ -1,7 +1,7 @@
 """Robust baselines: exact percentiles and the median absolute deviation by group, with fallbacks.
 
-The deviation needs a second pass over the group's values around its median; both passes shuffle on the same keys. Groups of many values, such as
-all of a city's, take ``exact_percentiles``, which holds no group in one task.
+A place's values of a month or of an hour of the day are few, so one aggregation gathers them and arrays do the rest. Groups of many values, such as all
+of a city's, take ``exact_percentiles``, which holds no group in one task.
 """
 
 from __future__ import annotations
@@ -15,12 +15,19 @@ from .facts import r6
 LEVELS = (0.5, 0.75, 0.9, 0.95, 0.99)
 
 
+def _at(sorted_values: str, q: float) -> Column:
+    """Percentile of a sorted array, between neighbours in proportion."""
+    place = q * (F.size(sorted_values) - 1)
+    low, part = F.floor(place).cast("int"), place - F.floor(place)
+    return F.element_at(sorted_values, low + 1) * (1 - part) + F.element_at(sorted_values, F.ceil(place).cast("int") + 1) * part
+
+
 def robust_baselines(facts: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """n, historical_median, mad and p50 to p99 of each group of keys; null and NaN values are left out."""
+    """n, historical_median, mad and p50 to p99 of each group of keys; null and NaN values are left out. For groups that time bounds: one place's hours."""
     rows = facts.where(F.col(value).isNotNull() & ~F.isnan(value))
-    stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.percentile(value, F.array(*map(F.lit, LEVELS))).alias("p"))
-    spread = rows.join(stats.select(*keys, F.col("p")[0].alias("_m")), keys).groupBy(*keys).agg(F.percentile(F.abs(F.col(value) - F.col("_m")), 0.5).alias("mad"))
-    return stats.join(spread, keys).select(*keys, "n", r6(F.col("p")[0]).alias("historical_median"), r6(F.col("mad")).alias("mad"), *(r6(F.col("p")[i]).alias(f"p{round(q * 100)}") for i, q in enumerate(LEVELS)))
+    groups = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias("_x")).withColumn("_m", _at("_x", 0.5))
+    groups = groups.withColumn("_off", F.sort_array(F.transform("_x", lambda x: F.abs(x - F.col("_m")))))
+    return groups.select(*keys, F.size("_x").cast("bigint").alias("n"), r6(F.col("_m")).alias("historical_median"), r6(_at("_off", 0.5)).alias("mad"), *(r6(_at("_x", q)).alias(f"p{round(q * 100)}") for q in LEVELS))
 
 
 def _bucket(v: Column) -> Column:
@@ -82,10 +89,10 @@ def baselines_with_fallback(facts: DataFrame, least: int = SETTINGS.baseline_lea
     """Own hour if it has ``least`` values, else the location's month if it has ``weekly_least``, else all locations' hour."""
     rows = with_calendar(facts)
     picked = ["n", "historical_median", "mad"]
-    side = lambda keys, tag: robust_baselines(rows, keys, value).select(*keys, F.struct(*picked).alias(tag))
+    side = lambda keys, tag, of=robust_baselines: of(rows, keys, value).select(*keys, F.struct(*picked).alias(tag))
     own = side(["location_id", "pollutant", "month", "hour_of_day"], "own")
     month = side(["location_id", "pollutant", "month"], "month_wide")
-    city = side(["pollutant", "month", "hour_of_day"], "city")
+    city = side(["pollutant", "month", "hour_of_day"], "city", wide_baselines)
     joined = own.join(month, ["location_id", "pollutant", "month"], "left").join(city, ["pollutant", "month", "hour_of_day"], "left")
     level = F.when(F.col("own.n") >= least, "own").when(F.col("month_wide.n") >= weekly_least, "weekly_fallback").otherwise("citywide_fallback")
     chosen = F.when(level == "own", F.col("own")).when(level == "weekly_fallback", F.col("month_wide")).otherwise(F.col("city"))

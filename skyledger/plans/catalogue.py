@@ -277,9 +277,11 @@ def join_recent_runs(v):
     return runs.withColumn("duration_seconds", S.epoch_seconds(F.col("finished_at")) - S.epoch_seconds(F.col("started_at"))).drop("finished_at")
 
 
-@query("SELECT p_partkey AS model_id, p_name AS model, s_name AS owner FROM part JOIN supplier ON p_partkey = s_suppkey WHERE p_size > 10")
+@query("SELECT p_partkey AS model_id, p_name AS model_name, p_type AS target, o_orderkey AS version, o_totalprice AS mae, CAST(o_orderdate AS TIMESTAMP) AS created_at FROM part JOIN orders ON p_partkey = o_custkey WHERE o_orderstatus = 'F'")
 def join_active_models(v):
-    return v.table("part").where("p_size > 10").join(v.table("supplier"), F.col("p_partkey") == F.col("s_suppkey")).selectExpr("p_partkey as model_id", "p_name as model", "s_name as owner")
+    """Models with their versions: of many versions a model has, those that are active."""
+    versions = v.table("orders").where("o_orderstatus = 'F'").selectExpr("o_custkey as model_id", "o_orderkey as version", "o_totalprice as mae", "cast(o_orderdate as timestamp_ntz) as created_at")
+    return v.table("part").selectExpr("p_partkey as model_id", "p_name as model_name", "p_type as target").join(versions, "model_id")
 
 
 _FALLBACK = f"""SELECT location_id, pollutant, hour_start, observed_value, historical_median, mad, reason, robust_z, {SEVERITY} AS severity, coalesce(reason IN ('citywide', 'recent_7d'), false) AS fallback_used FROM (

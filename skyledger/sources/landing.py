@@ -17,6 +17,8 @@ HOURLY = "hourly struct<time: array<string>, temperature_2m: array<double>, rela
 # Names of the payload's parallel arrays and of the canonical columns.
 HOURLY_COLUMNS = {"temperature_2m": "temperature_c", "relative_humidity_2m": "humidity_pct", "wind_speed_10m": "wind_speed_kmh", "wind_direction_10m": "wind_direction_deg", "pressure_msl": "pressure_hpa", "precipitation": "precipitation_mm", "cloud_cover": "cloud_cover_pct"}
 
+ROW_GROUP_BYTES = 128 * 1024 * 1024
+
 
 def response_hash(column: str = "payload"):
     return F.sha2(F.col(column), 256)
@@ -61,7 +63,7 @@ def write_raw(df: DataFrame, root: str, kind: str, run_id: str, mode: str = "app
     out = enforce(df, kind).withColumn("run_id", F.lit(run_id))
     days = {"year": "yyyy", "month": "MM", "day": "dd"}
     out = out.withColumns({k: F.date_format("observed_at", f) for k, f in days.items()})
-    out.repartition(*days).write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*days).parquet(root)
+    out.repartition(*days).write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "snappy").option("parquet.block.size", ROW_GROUP_BYTES).partitionBy(*days).parquet(root)
 
 
 def landing_dir(spark: SparkSession, name: str) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skyledger import config
 from skyledger.functions import scalars
 from skyledger.operators import anomaly, baselines, dedup, events, facts, features, forecast, health, late, ml, quality, serving
+from skyledger.plans.views import WRITTEN, Views
 from skyledger.schemas import ContractError
 from skyledger.sources import control, landing
 from skyledger.streaming.hourly import hourly_facts, rewrite_affected_hours
@@ -418,3 +419,16 @@ def test_cache_and_ingest_run(spark, tmp_path):
         control.ingest(*args[:3], lambda df: 1 / 0, *args[4:], last_event=BASE - timedelta(hours=1))
     got = {r.status: r for r in spark.read.parquet(runs).collect()}
     assert set(got) == {"success", "failed"} and got["failed"].requested_start == BASE - timedelta(hours=1) and "division" in got["failed"].error
+
+
+def test_marts_are_written_once_and_follow_their_events(spark, tmp_path):
+    kinds = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    rows = [(i, BASE + timedelta(minutes=7 * i), i % 6, ("click", "view", "signup")[i % 3], float(i), "{}") for i in range(1, 40)]
+    save = lambda n: spark.createDataFrame(rows[:n], kinds).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
+    save(39)
+    before = set(WRITTEN)
+    counts = [Views(spark, str(tmp_path)).aq_clean.count() for _ in range(2)]
+    assert counts == [39, 39] and len(set(WRITTEN) - before) == 1
+    save(20)
+    assert Views(spark, str(tmp_path)).aq_clean.count() == 20
+    assert Views(spark, str(tmp_path)).loc_hourly.where("location_id = 'UNMAPPED'").isEmpty()
