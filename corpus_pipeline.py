@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm import language_id, poisson_mix, quality_gam, sentencepiece_codec
 from skyledger.llm.ngram_join import jaccard_components
+from skyledger.llm.queries import table
 from skyledger.llm.scratch import Scratch, fresh, released
 
 LEAST_LANGUAGE_SCORE = 0.5
@@ -71,7 +72,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     before = None
     for _, stage in STAGES[:-1]:
         with released():
