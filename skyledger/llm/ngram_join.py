@@ -186,7 +186,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     posted = scratch.save(prefix.select("s", "m", F.explode("prefix.gram").alias("gram")))
     shared = posted.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
     posts = scratch.save(posted.join(shared, "gram").select("gram", "s", "m"))
-    scratch.drop(several, posted)
+    whole, sets = sets, scratch.save(sets.select("s", "id", *signature, F.size("lower").alias("size_lower"), *parity))
+    scratch.drop(several, posted, whole)
     labels = _links(sets, posts, texts, Threshold(num, den), words, parity, signature, scratch)
 
     ids = scratch.save(labels.join(sets.select("s", "id"), "s").groupBy("part").agg(F.min("id").alias("least")))
@@ -203,7 +204,7 @@ def _links(sets: DataFrame, posts: DataFrame, texts: DataFrame, limit: Threshold
     labels = scratch.save(once.select("s", F.col("s").alias("part")))
     if posts.isEmpty():
         return labels
-    chosen = scratch.save(sets.join(once, "s").select("s", "id", *signature, *parity, (1 - F.col("m") / F.size("lower")).alias("own_share")))
+    chosen = scratch.save(sets.join(once, "s").select("s", "id", *signature, *parity, (1 - F.col("m") / F.col("size_lower")).alias("own_share")))
     digests = chosen.select("s", "n", *parity)
     # Texts are read again, and none is dealt out whose set can't be among the chosen.
     bloom = share(sets.sparkSession, _bloom(chosen))
@@ -214,6 +215,7 @@ def _links(sets: DataFrame, posts: DataFrame, texts: DataFrame, limit: Threshold
     num, den = limit.num, limit.den
     differing = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in parity), F.lit(0))
     room = F.expr(f"{den - num} * (a_n + b_n)")
+    # All parities go along with every posted n-gram of the last round: 128 cells in place of the 512 let pairs through that grow with the square of a block.
     bounds = (F.abs(F.col("a_n") - F.col("b_n")) * (den + num) <= room) & (differing * (den + num) <= room)
     side = lambda t, c: t.select(F.col("s").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("n", *parity)))
     turn, stars, posted = 0, True, once.count()
