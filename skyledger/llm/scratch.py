@@ -21,10 +21,7 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; where it is unset, a folder of the warehouse, which executors share too."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", where)
+    where = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     return where.rstrip("/")
 
 

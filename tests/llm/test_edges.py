@@ -155,11 +155,12 @@ def test_bloom_filter_loses_nothing(spark, monkeypatch, bits):
 
 
 def test_models_travel_to_executors_without_the_repository(tmp_path):
+    """And without a checkpoint folder, in place of which the warehouse holds intermediate tables."""
     script = f"""
 import sys
 sys.path.insert(0, {str(REPO)!r})
 from pyspark.sql import SparkSession
-spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", "file://{tmp_path}/c").config("spark.sql.warehouse.dir", "{tmp_path}/w").getOrCreate()
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.sql.warehouse.dir", "{tmp_path}/w").getOrCreate()
 def there(_):
     try:
         import skyledger
