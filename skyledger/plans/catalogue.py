@@ -747,7 +747,7 @@ def wm_query_start(v):
     return rows.select("source_id", late.query_start(F.col("last_event"), now(), 6).alias("query_start"))
 
 
-@query("SELECT CAST(o_custkey % 3 AS VARCHAR) AS source_id, arg_max(CAST(o_orderdate AS TIMESTAMP), f) AS requested_end, max(f) AS finished_at FROM (SELECT *, CAST(o_orderdate AS TIMESTAMP) + to_days(CAST(o_orderkey % 4 AS INT)) AS f FROM orders WHERE o_orderstatus = 'F') GROUP BY 1 HAVING count(*) > 0")
+@query("SELECT CAST(o_custkey % 3 AS VARCHAR) AS source_id, arg_max(CAST(o_orderdate AS TIMESTAMP), (f, o_orderdate)) AS requested_end, max(f) AS finished_at FROM (SELECT *, CAST(o_orderdate AS TIMESTAMP) + to_days(CAST(o_orderkey % 4 AS INT)) AS f FROM orders WHERE o_orderstatus = 'F') GROUP BY 1 HAVING count(*) > 0")
 def wm_latest(v):
     runs = v.table("orders").selectExpr("CAST(o_custkey % 3 AS STRING) AS source_id", "if(o_orderstatus = 'F', 'success', 'failed') AS status", "CAST(o_orderdate AS TIMESTAMP_NTZ) AS requested_end", "CAST(o_orderdate AS TIMESTAMP_NTZ) + make_dt_interval(CAST(o_orderkey % 4 AS INT)) AS finished_at")
     return late.latest_watermark(runs)
