@@ -70,12 +70,13 @@ class Scratch:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, rows_per_file: int = 0) -> DataFrame:
+        """``rows_per_file`` bounds what a task holds of a table of large rows; 0: no bound."""
         path = f"{self.root}/{len(self.tables)}"
         before = self.spark.conf.get(CLEANUP, None)
         self.spark.conf.set(CLEANUP, "true")
         try:
-            df.write.parquet(path)
+            df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
         finally:
             self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)

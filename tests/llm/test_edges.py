@@ -499,6 +499,50 @@ def test_cover_tree_levels_are_nested_nets():
         above = levels[:, k]
 
 
+def test_cover_tree_opens_few_nodes_where_nothing_is_clustered(monkeypatch):
+    opened, inner = [], cover_tree._opened
+
+    def counted(*args):
+        for found in inner(*args):
+            opened.append(len(found[0]))
+            yield found
+
+    monkeypatch.setattr(cover_tree, "_opened", counted)
+    rng = np.random.default_rng(6)
+    u = rng.normal(size=(4000, 32))
+    u[3900:] = u[:100] + rng.normal(scale=0.05, size=(100, 32))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    blocks = [cover_tree.Block(np.arange(i, 4000, 2), np.ones(2000, np.int64), u[i::2], cover_tree.build_levels(u[i::2])) for i in (0, 1)]
+    a, b, _, looked = cover_tree.dual_traversal(*blocks, False, 0.9)
+    link = u[::2] @ u[1::2].T >= 0.9
+    assert (a == link.sum(axis=1)).all() and (b == link.sum(axis=0)).all()
+    assert looked < 1.05 * 2000 * 2000 and sum(opened) < 0.01 * 2000 * 2000
+
+
+@pytest.mark.parametrize("scale", [0.05, 0.3, 3.0])
+def test_cover_tree_tiles_lose_no_pair(monkeypatch, scale):
+    monkeypatch.setattr(cover_tree, "TILE", (7, 12))
+    rng = np.random.default_rng(7)
+    u = rng.normal(size=(20, 6))[rng.integers(20, size=400)] + rng.normal(scale=scale, size=(400, 6))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    for cosine in (0.9, 0.3):
+        block = cover_tree.Block(np.arange(400), np.ones(400, np.int64), u, cover_tree.build_levels(u))
+        assert (cover_tree.dual_traversal(block, block, True, cosine)[0] == (u @ u.T >= cosine).sum(axis=1) - 1).all()
+
+
+def test_blocks_in_reach_meet_once_over_panels(monkeypatch):
+    monkeypatch.setattr(cover_tree, "PANEL_BYTES", 100)
+    rng = np.random.default_rng(5)
+    near = rng.random((12, 12)) < 0.5
+    near = near | near.T | np.eye(12, dtype=bool)
+    blocks = [(g * 8 + shard, int(rng.integers(10, 60))) for g in range(12) for shard in range(3)]
+    met, size = Counter(), dict(blocks)
+    for panel, partners in cover_tree.meetings(blocks, lambda g: near[g], lambda n: n // 8):
+        assert sum(size[n] for n in panel) <= 100
+        met.update(tuple(sorted((n, other))) for n, others in partners.items() for other in others if other in panel)
+    assert met == Counter((a, b) for a, _ in blocks for b, _ in blocks if a <= b and near[a // 8, b // 8])
+
+
 def test_embedding_rows_of_one_id_and_copies(spark):
     a, b = [1.0, 0.0, 0.1], [0.0, 1.0, 0.0]
     rows = [(5, a), (7, a), (7, b), (3, b), (3, None), (None, [x * 2 for x in b]), (9, [0.0, 0.0, -1.0]), (None, [0.0] * 3)]
