@@ -3,12 +3,14 @@
 Every block element's subtree is hashed in two ways: by its words, and by its shape, that is the tags, classes and ids of it and of the elements in it,
 words and repetitions left out. Both are counted per host in Spark, once a document: pages of a host with the same main text are one document.
 What recurs in at least ``LEAST_PAGES`` documents and ``LEAST_SHARE`` of a host's is its template and is deleted. A shape counts only for containers
-beside a declared article or main element, as articles have shapes in common too; nothing in such an element is template. So copies of a page, under one
-url or many, don't make its text a template; near copies without an article element do where their blocks differ and they are that many.
+beside a declared article or main element, as articles have shapes in common too. Nothing in an article element is template, and of a main element only
+what recurs by its words on pages with an article, beside the articles and the headlines (h1). So copies of a page, under one url or many, don't make its
+text a template; near copies do with what no article element holds, where their blocks differ and they are that many.
 
 Of the rest, the page's own markup names what isn't main text: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
 and reader comments go by element, role, class or id, and where a page has an article or main element, what is still left outside goes.
-That decides for hosts of few pages.
+That decides for hosts of few pages, and for what is outside the article or main element of a page that has one: there the template changes nothing,
+so it decides within main elements and on pages without either.
 
 Blocks are the texts between block elements, with character references decoded and white space made one space; they are joined by
 an empty line. Null and empty html give an empty text. Pages without a host share the empty host. Repeated rows are extracted alike and
@@ -93,10 +95,11 @@ def _names(tag: str, attributes: str) -> tuple[bool, str]:
 class _Open:
     """An open element. ``off`` says that it isn't main text, ``block_off`` that of its innermost block; ``hidden`` text is in neither."""
 
-    __slots__ = ("block_off", "blocks", "first", "hidden", "names", "off", "shapes", "tag", "within")
+    __slots__ = ("article", "block_off", "blocks", "first", "hidden", "names", "off", "shapes", "tag", "within")
 
     def __init__(self, tag: str, names: str, off: bool, within: bool, first: int, blocks: int, above: _Open | None = None):
         self.tag, self.names, self.off, self.within, self.first, self.blocks, self.shapes = tag, names, off, within, first, blocks, set()
+        self.article = above is not None and (above.article or tag == "article" and not off)
         inline = above is not None and tag not in BLOCK
         self.block_off = above.block_off if inline else off
         self.hidden = inline and (above.hidden or off and not above.off)
@@ -106,13 +109,16 @@ class Page:
     """Blocks of a page, and the hashed subtrees as ranges of blocks.
 
     ``blocks``: (text, whether the markup declares it as something else, whether it is in an article or main element).
-    ``subtrees``: (hash of the words, hash of the shape or None, first block, one beyond the last) of block elements outside articles.
+    ``subtrees``: (hash of the words, hash of the shape or None, first block, one beyond the last) of block elements outside articles; in a main
+    element without the shape, and only on pages with an article, which they don't hold.
     """
 
     def __init__(self, page: str | None):
         self.blocks: list[tuple[str, bool, bool]] = []
         self.subtrees: list[tuple[int, int | None, int, int]] = []
-        self.main = False
+        self.main = self.article = False
+        self.kept: list[int] = []  # blocks in articles and headlines
+        self.inner: list[bool] = []  # which subtrees are in a main element
         self.stack = [_Open("", "", False, False, 0, 0)]
         self.places: dict[str, list[int]] = defaultdict(list)  # of each tag's open elements in the stack
         self.open_blocks = 0
@@ -123,7 +129,8 @@ class Page:
         mains = [i for i, b in enumerate(self.blocks) if b[2]]
         if self.main:  # what holds the article is no template, whatever its shape
             beside = lambda low, high: bisect_right(mains, high - 1) == bisect_right(mains, low - 1)
-            self.subtrees = [x for x in self.subtrees if beside(x[2], x[3])]
+            keeps = lambda low, high: bisect_right(self.kept, high - 1) > bisect_right(self.kept, low - 1)
+            self.subtrees = [x for x, within in zip(self.subtrees, self.inner, strict=True) if (self.article and not keeps(x[2], x[3]) if within else beside(x[2], x[3]))]
         else:
             self.subtrees = [(words, None, low, high) for words, _, low, high in self.subtrees]
 
@@ -132,6 +139,8 @@ class Page:
         self.text.clear()
         if block:
             top = self.stack[-1]
+            if top.article or self.places["h1"]:
+                self.kept.append(len(self.blocks))
             self.blocks.append((block, top.block_off, top.within))
             self.sums.append((self.sums[-1] * PRIME + xxhash.xxh64_intdigest(block)) & MASK)
             self.powers.append(self.powers[-1] * PRIME & MASK)
@@ -152,9 +161,10 @@ class Page:
         shape = _hash("shape", node.names, *sorted(node.shapes))
         above.shapes.add(shape)
         low, high = node.first, len(self.blocks)
-        if low < high and not node.within and node.tag not in ("html", "body", "article", "main"):
+        if low < high and not node.article and node.tag not in ("html", "body", "article", "main"):
+            self.inner.append(node.within)
             words = (self.sums[high] - self.sums[low] * self.powers[high - low]) & MASK
-            self.subtrees.append((_hash("words", node.names, words), shape if node.tag in CONTAINER else None, low, high))
+            self.subtrees.append((_hash("words", node.names, words), shape if node.tag in CONTAINER and not node.within else None, low, high))
 
     def _close_to(self, depth: int) -> None:
         while len(self.stack) > depth:
@@ -201,6 +211,7 @@ class Page:
             off = top.off or tag in DROPPED or (tag == "article" and bool(self.places["article"])) or (tag == "header" and not top.within) or declared and tag not in ("html", "body", "article", "main")
             if not off and tag in ("article", "main"):
                 self.main = True
+                self.article = self.article or tag == "article"
             if not attributes.rstrip().endswith("/") or tag in BLOCK:
                 self.open_blocks += tag in BLOCK
                 self.places[tag].append(len(self.stack))

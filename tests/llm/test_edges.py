@@ -297,6 +297,17 @@ def test_templates_take_what_markup_does_not_name(spark):
     assert (0, 1) in gone and (2, 4) in gone and not any(low <= 1 < high for low, high in gone)
 
 
+def test_templates_take_what_recurs_in_main_beside_the_article(spark):
+    menu, ask = "<div class=x1><ul><li>Home</li><li>World</li></ul></div>", "<div class=x2><p>Get our letter</p></div>"
+    page = lambda i: f"<body><main>{menu}<div class=x3><h1>Head</h1></div><article><p>Get our letter</p><p>story {i}</p></article><div class=x4><p>end of {i}</p></div>{ask}</main></body>"
+    alone = lambda i: f"<body><main><p>same words</p><p>tale {i}</p></main></body>"
+    rows = [(i, f"http://h.test/{i}", page(i)) for i in range(6)] + [(i, f"http://m.test/{i}", alone(i)) for i in range(6, 12)] + [(12, "http://few.test/", page(12))]
+    got = {r.page_id: r.text for r in html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Head\n\nGet our letter\n\nstory {i}\n\nend of {i}" for i in range(6))
+    assert all(got[i] == f"same words\n\ntale {i}" for i in range(6, 12))
+    assert got[12] == "Home\n\nWorld\n\nHead\n\nGet our letter\n\nstory 12\n\nend of 12\n\nGet our letter"
+
+
 def test_html_odd_tables(spark):
     rows = [(1, "http://a.test/", "<p>same</p>")] * 3 + [(None, None, "<p>no id</p>"), (2, "", None), (3, "x", "<div>" * 5000 + "deep" + "</div>" * 5000), (4, "y", "<p>" + "long text " * 50_000 + "</p>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
